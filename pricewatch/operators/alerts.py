@@ -62,11 +62,10 @@ def daily_mean(prices: DataFrame) -> DataFrame:
     return (
         priced(prices, "event_time")
         .groupBy("commodity", day.alias("obs_date"))
-        .agg(F.round(F.avg("price"), 2).alias("price"), F.min("label").alias("label"))
+        .agg(F.round(F.avg("price"), 2).alias("price"))
         .select(
             F.concat_ws("|", "commodity", F.date_format("obs_date", "yyyy-MM-dd")).alias("message_id"),
             "commodity",
-            "label",
             "price",
             F.col("obs_date").cast("timestamp_ntz").alias("event_time"),
             F.lit(0).alias("hour"),

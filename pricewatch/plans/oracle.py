@@ -49,9 +49,9 @@ TICKS = f"""ticks AS (
          CAST(dayofweek(ts) + 1 AS INTEGER) AS dow, strftime(ts, '%Y-%m-%d') AS day, props
   FROM events)"""
 DAILY = f"""daily AS (
-  SELECT commodity, CAST(event_time AS DATE) AS obs_date, min(label) AS label, {rnd('avg(price)')} AS price,
+  SELECT commodity, CAST(event_time AS DATE) AS obs_date, {rnd('avg(price)')} AS price,
          CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS event_time, 0 AS hour
-  FROM (SELECT commodity, CAST(event_time AS DATE) AS d, event_time, label, price FROM ticks WHERE price > 0)
+  FROM (SELECT commodity, CAST(event_time AS DATE) AS d, event_time, price FROM ticks WHERE price > 0)
   GROUP BY commodity, CAST(event_time AS DATE))"""
 ENTRIES = f"""entries AS (
   SELECT doc_id, split_part(text, chr(10), 1) AS title, md5(text) AS link, text AS summary,

@@ -581,7 +581,7 @@ BIG_ORDER = 400_000.0
 
 def _versions(spark: SparkSession, sf: str) -> SnapshotTable:
     """Three versions of the orders: written, large ones marked, cancelled ones deleted."""
-    table = SnapshotTable(spark, new_dir(spark, "orders"))
+    table = SnapshotTable(spark, new_dir(spark, "orders"), stats=("o_orderkey", "o_orderstatus"))
     orders = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     table.overwrite(orders, "CREATE")
     table.update(F.col("o_totalprice") > BIG_ORDER, {"o_orderstatus": F.lit("REVIEW")})

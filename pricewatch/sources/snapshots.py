@@ -8,8 +8,8 @@ but keeps the files, which is what makes older versions readable.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,9 +23,11 @@ COMMIT = (
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, stats: tuple[str, ...] = ()):
+        """``stats`` names the columns whose null count, minimum and maximum each commit records."""
         self.spark = spark
         self.path = path.rstrip("/")
+        self.stats = stats
 
     # -- commit log -------------------------------------------------------------------------
     def history(self) -> DataFrame:
@@ -58,7 +60,7 @@ class SnapshotTable:
         upto = [row for row in log if row.version <= version]
         start = max([row.version for row in upto if row.mode == "overwrite"], default=known[0])
         visible = [row for row in upto if row.version >= start]
-        schema = _merged([T.StructType.fromJson(_json(row.schema_json)) for row in visible])
+        schema = _merged([T.StructType.fromJson(json.loads(row.schema_json)) for row in visible])
         df = self.spark.read.schema(schema.add("_version", T.IntegerType())).parquet(f"{self.path}/data")
         return df.filter(F.col("_version").isin([row.version for row in visible])).drop("_version")
 
@@ -87,22 +89,29 @@ class SnapshotTable:
         versions = self.versions()
         version = versions[-1] + 1 if versions else 0
         seen = Observation(f"write-{uuid.uuid4().hex}")
-        df.observe(seen, *_metrics(df)).write.mode("overwrite").parquet(f"{self.path}/data/_version={version}")
+        df.observe(seen, *_metrics(self.stats)).write.mode("overwrite").parquet(f"{self.path}/data/_version={version}")
         metrics = {k: str(v) for k, v in seen.get.items() if v is not None}
-        commit = self.spark.createDataFrame(
-            [(version, None, operation, mode, parameters, df.schema.json(), metrics, batch_id)], COMMIT
+        pairs = [F.lit(x) for pair in metrics.items() for x in pair]
+        commit = self.spark.range(1).select(
+            F.lit(version).alias("version"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(operation).alias("operation"),
+            F.lit(mode).alias("mode"),
+            F.lit(parameters).alias("parameters"),
+            F.lit(df.schema.json()).alias("schema_json"),
+            F.create_map(*pairs).alias("metrics"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
-        commit = commit.withColumn("committed_at", F.current_timestamp())
         commit.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/version={version}")
         return version
 
     # -- inspection -------------------------------------------------------------------------
     def files(self, version: int) -> DataFrame:
-        """Files of one version with bytes and rows."""
+        """Files of one version with bytes, rows and the statistics of the ``stats`` columns."""
         df = self.spark.read.parquet(f"{self.path}/data/_version={version}")
         file = F.col("_metadata")
         return df.groupBy(file["file_name"].alias("file_name"), file["file_size"].alias("n_bytes")).agg(
-            F.count(F.lit(1)).alias("n_rows")
+            *_metrics(self.stats)
         )
 
     def diff(self, before: int, after: int, key: list[str], columns: list[str]) -> DataFrame:
@@ -132,14 +141,13 @@ def compare(before: DataFrame, after: DataFrame, key: list[str], columns: list[s
     )
 
 
-def _metrics(df: DataFrame) -> list[Column]:
-    """Row count, and null count, minimum and maximum of every column with an order."""
-    simple = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "binary", "variant"))]
-    per_column: list[Callable[[Column], Column]] = [lambda c: F.count_if(c.isNull()), F.min, F.max]
+def _metrics(columns: tuple[str, ...]) -> list[Column]:
+    """Row count, and null count, minimum and maximum (as text) of the given columns."""
     out = [F.count(F.lit(1)).alias("rows")]
-    for c in simple:
-        for label, make in zip(("nulls", "min", "max"), per_column):
-            out.append(make(F.col(f"`{c}`")).cast("string").alias(f"{label}.{c}"))
+    for c in columns:
+        value = F.col(f"`{c}`")
+        for name, metric in (("nulls", F.count_if(value.isNull())), ("min", F.min(value)), ("max", F.max(value))):
+            out.append(metric.cast("string").alias(f"{name}.{c}"))
     return out
 
 
@@ -151,9 +159,3 @@ def _merged(parts: list[T.StructType]) -> T.StructType:
             if f.name not in out.names:
                 out.add(f.name, f.dataType, True)
     return out
-
-
-def _json(text: str) -> dict:
-    import json
-
-    return json.loads(text)

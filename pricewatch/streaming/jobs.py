@@ -13,6 +13,7 @@ from pricewatch import dims
 from pricewatch.functions import text
 from pricewatch.operators.alerts import ALERT_COLUMNS, classify_changes, with_previous
 from pricewatch.operators.enrich import add_provenance
+from pricewatch.operators.slices import newest_per_key
 from pricewatch.session import broadcast_if_small, cut_lineage
 from pricewatch.sinks import live
 from pricewatch.sources.snapshots import SnapshotTable
@@ -127,9 +128,8 @@ def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, slic
             f"{path}/alerts/batch={batch_id}"
         )
         marked.filter("_late").drop("_late").write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
-        newest = F.max_by(F.struct("event_time", "message_id", "price"), F.struct("event_time", "message_id"))
-        state = both.groupBy("commodity").agg(newest.alias("s")).select("commodity", "s.*")
-        state.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        newest = newest_per_key(both, ["commodity"], [F.desc("event_time"), F.desc("message_id")], 1)
+        newest.select("commodity", "event_time", "message_id", "price").write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(write)
 
