@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that counts as white space at either end of a text, not only the blank.
-SPACE = r"[\s\p{Z}\x0B\x1c-\x1f\x85]"
-ENDS = rf"\A{SPACE}+|{SPACE}+\z"
+# --- fixed values: every character that counts as white space at either end of a text -------
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# ------------------------------------------------------------------------------------------
 TAG = r"<[^>]+>"
 OUTSIDE = r"[^\p{L}\p{N}_]"
 
@@ -18,7 +21,7 @@ def normal_key(c: Column | str) -> Column:
 
 
 def strip_space(c: Column) -> Column:
-    return F.regexp_replace(c, ENDS, "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def strip_tags(c: Column) -> Column:
@@ -30,14 +33,14 @@ def not_blank(c: Column, longer_than: int = 0) -> Column:
     return c.isNotNull() & (F.length(F.trim(c)) > longer_than)
 
 
-def mentions(text: Column, keyword: str) -> Column:
-    """Case-insensitive substring test over the whole text."""
-    return F.lower(text).contains(keyword.lower())
+def mentions(lowered: Column, keyword: str) -> Column:
+    """Case-insensitive substring test over a whole text already in lower case."""
+    return lowered.contains(keyword.lower())
 
 
-def mentions_word(text: Column, keyword: str) -> Column:
+def mentions_word(lowered: Column, keyword: str) -> Column:
     """As :func:`mentions`, but no letter or digit of any script may touch the keyword."""
-    return F.lower(text).rlike(rf"(\A|{OUTSIDE})\Q{keyword.lower()}\E({OUTSIDE}|\z)")
+    return lowered.rlike(rf"(\A|{OUTSIDE})\Q{keyword.lower()}\E({OUTSIDE}|\z)")
 
 
 def underscored(c: Column) -> Column:

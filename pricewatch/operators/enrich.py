@@ -37,41 +37,41 @@ def normalise_name(name: Column, synonyms: Mapping[str, str] = dims.SYNONYMS) ->
 
 
 def keyword_tag(
+    df: DataFrame,
     body: Column,
     keywords: Mapping[str, Sequence[str]] = dims.NEWS_KEYWORDS,
     default: str = dims.GENERAL,
     whole_words: bool = False,
-) -> Column:
-    """First commodity, in the order given, with a keyword in the text; ``default`` if none.
+    out: str = "commodity",
+) -> DataFrame:
+    """Add the first commodity, in the order given, with a keyword in the text; ``default`` if none.
 
-    One narrow expression per row: no join, no shuffle, any text length.
+    Narrow expressions only: no join, no shuffle, any text length. The text is put in lower case
+    once, in a projection of its own.
     """
     test = text.mentions_word if whole_words else text.mentions
     hits = []
     for commodity, words in keywords.items():
-        any_word = test(body, words[0])
+        any_word = test(F.col("_lower"), words[0])
         for word in words[1:]:
-            any_word |= test(body, word)
+            any_word |= test(F.col("_lower"), word)
         hits.append(F.when(any_word, F.lit(commodity)))
-    return F.coalesce(*hits, F.lit(default))
-
-
-def mention_flags(body: Column, keywords: Mapping[str, str] = dims.TITLE_KEYWORDS) -> dict[str, Column]:
-    """One 0/1 column per commodity; a text may mention several."""
-    return {c: F.when(text.mentions(body, w), 1).otherwise(0) for c, w in keywords.items()}
+    tag = F.coalesce(*hits, F.lit(default))
+    return df.withColumn("_lower", F.lower(body)).withColumn(out, tag).drop("_lower")
 
 
 def mention_tags(df: DataFrame, body: Column, keywords: Mapping[str, str] = dims.TITLE_KEYWORDS) -> DataFrame:
-    """One row per text and mentioned commodity."""
-    hits = F.array_compact(F.array(*[F.when(text.mentions(body, w), F.lit(c)) for c, w in keywords.items()]))
-    return df.withColumn("mentioned", F.explode(hits))
+    """One row per text and mentioned commodity; a text may mention several."""
+    low = F.col("_lower")
+    hits = F.array_compact(F.array(*[F.when(text.mentions(low, w), F.lit(c)) for c, w in keywords.items()]))
+    return df.withColumn("_lower", F.lower(body)).withColumn("mentioned", F.explode(hits)).drop("_lower")
 
 
 def mention_counts(news: DataFrame, keywords: Mapping[str, str] = dims.TITLE_KEYWORDS, column: str = "title") -> DataFrame:
     """Texts mentioning each commodity: one pass, one row per commodity, zero counts included."""
-    flags = mention_flags(F.coalesce(column, F.lit("")), keywords)
     names = {c: f"n{i}" for i, c in enumerate(keywords)}
-    totals = news.agg(*[F.coalesce(F.sum(flag), F.lit(0)).alias(names[c]) for c, flag in flags.items()])
+    lowered = news.select(F.lower(F.coalesce(column, F.lit(""))).alias("_lower"))
+    totals = lowered.agg(*[F.count_if(text.mentions(F.col("_lower"), w)).alias(names[c]) for c, w in keywords.items()])
     rows = F.array(
         *[
             F.struct(F.lit(c).alias("commodity"), F.lit(w).alias("keyword"), F.col(names[c]).alias("n_mentions"))
@@ -135,13 +135,14 @@ def news_envelope(
         "source_feed",
         F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias("ts_text"),
     )
-    return clean.select(
+    tagged = keyword_tag(clean, F.concat_ws(" ", "title", "body"), keywords, default)
+    return tagged.select(
         "title",
         "link",
         F.substring("body", 1, SUMMARY_CHARS).alias("summary"),
         "published",
         "source_feed",
-        keyword_tag(F.concat_ws(" ", "title", "body"), keywords, default).alias("commodity"),
+        "commodity",
         "ts_text",
         F.lit(topic).alias("topic"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricewatch.functions.text import ENDS, OUTSIDE
+from pricewatch.functions.text import OUTSIDE, SPACES
 from pricewatch.sources.adapters import EPOCH, KEYWORDS, MENTIONS, VALID
 
 SQL: dict[str, str] = {}
@@ -32,11 +32,11 @@ def label(c: str) -> str:
 
 IN_VALID = ", ".join(f"'{v}'" for v in VALID)
 ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
-STRIP = ENDS.replace("'", "''")
+BLANKS = " || ".join(f"chr({ord(c)})" for c in SPACES)
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '{STRIP}', '', 'g')"
+    return f"trim({x}, {BLANKS})"
 
 
 def tags(x: str) -> str:

@@ -156,8 +156,8 @@ def keyword_tag_first(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def keyword_tag_words(spark: SparkSession, sf: str) -> DataFrame:
-    tag = enrich.keyword_tag(F.col("summary"), A.KEYWORDS, "general", whole_words=True)
-    return A.feed_entries(spark, sf).select("doc_id", tag.alias("commodity"))
+    entries = A.feed_entries(spark, sf)
+    return enrich.keyword_tag(entries, F.col("summary"), A.KEYWORDS, "general", whole_words=True).select("doc_id", "commodity")
 
 
 @query

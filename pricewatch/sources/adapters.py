@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewatch import schemas
+from pricewatch.operators.enrich import keyword_tag
 
 #: Keyword lists that stand in for commodity words: the texts are invented prose.
 KEYWORDS = {"view": ["the"], "click": ["der"], "error": ["que"], "purchase": ["license"], "signup": ["purchase"]}
@@ -73,7 +74,7 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _news_time(F.col("doc_id"))
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.md5("text").alias("link"),
         F.col("text").alias("summary"),
         F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("published"),
@@ -85,17 +86,9 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tagged articles: the commodity is the first keyword hit in the whole text."""
-    from pricewatch.operators.enrich import keyword_tag
-
-    return feed_entries(spark, sf_dir).select(
-        "doc_id",
-        "title",
-        "link",
-        "summary",
-        "event_time",
-        F.hour("event_time").alias("hour"),
-        keyword_tag(F.col("summary"), KEYWORDS, "general").alias("commodity"),
-    )
+    entries = feed_entries(spark, sf_dir).withColumn("hour", F.hour("event_time"))
+    tagged = keyword_tag(entries, F.col("summary"), KEYWORDS, "general")
+    return tagged.select("doc_id", "title", "link", "summary", "event_time", "hour", "commodity")
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +106,6 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Price messages carry only the ISO time, news messages only the plain one.
     """
-    from pricewatch.operators.enrich import keyword_tag
-
     prices = table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("message_id"),
         F.col("event_type").alias("commodity"),
@@ -123,14 +114,6 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts_iso"),
         F.lit("prices").alias("topic"),
     )
-    articles = feed_entries(spark, sf_dir).select(
-        F.lit("news").alias("topic"),
-        "title",
-        "link",
-        "summary",
-        "published",
-        F.col("published").alias("ts_text"),
-        "source_feed",
-        keyword_tag(F.col("summary"), KEYWORDS, "general").alias("commodity"),
-    )
+    articles = feed_entries(spark, sf_dir).withColumns({"topic": F.lit("news"), "ts_text": F.col("published")})
+    articles = keyword_tag(articles, F.col("summary"), KEYWORDS, "general")
     return schemas.to_mixed(prices).unionByName(schemas.to_mixed(articles))
