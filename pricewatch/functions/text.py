@@ -25,7 +25,8 @@ def strip_space(c: Column) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    return strip_space(F.regexp_replace(c, TAG, ""))
+    """Text without tags; a text without any ``<`` skips the pattern."""
+    return strip_space(F.when(c.contains("<"), F.regexp_replace(c, TAG, "")).otherwise(c))
 
 
 def not_blank(c: Column, longer_than: int = 0) -> Column:

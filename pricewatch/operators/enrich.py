@@ -165,7 +165,7 @@ def price_list_records(raw: DataFrame, today: Column, source_name: str) -> DataF
         F.date_format(today, "yyyy-MM-dd").alias("obs_date"),
         F.lit(source_name).alias("source_name"),
     ).filter(F.col("commodity").isin(list(dims.LABELS)) & (F.col("price") > 0))
-    return lookup(rows, dims.commodity_dim(raw.sparkSession).select("commodity", "label", "unit"))
+    return _with_label(rows)
 
 
 def indicator_records(raw: DataFrame, source_name: str, today: Column) -> DataFrame:
@@ -185,7 +185,13 @@ def indicator_records(raw: DataFrame, source_name: str, today: Column) -> DataFr
         F.coalesce("date", F.date_format(today, "yyyy-MM")).alias("obs_date"),
         F.lit(source_name).alias("source_name"),
     )
-    return lookup(rows, dims.commodity_dim(raw.sparkSession).select("commodity", "label", "unit"))
+    return _with_label(rows)
+
+
+def _with_label(rows: DataFrame) -> DataFrame:
+    """Label and unit of the listed commodities; the dimension has a fixed handful of rows."""
+    dim = dims.commodity_dim(rows.sparkSession).select("commodity", "label", "unit")
+    return rows.join(F.broadcast(dim), "commodity", "left")
 
 
 def add_reference_change(df: DataFrame) -> DataFrame:

@@ -23,11 +23,15 @@ COMMIT = (
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, stats: tuple[str, ...] = ()):
-        """``stats`` names the columns whose null count, minimum and maximum each commit records."""
+    def __init__(
+        self, spark: SparkSession, path: str, stats: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()
+    ):
+        """``stats`` names the columns whose null count, minimum and maximum each commit records;
+        ``partition_by`` the columns that lay out the files of a version, such as a date."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.stats = stats
+        self.partition_by = partition_by
 
     # -- commit log -------------------------------------------------------------------------
     def history(self) -> DataFrame:
@@ -61,8 +65,9 @@ class SnapshotTable:
         start = max([row.version for row in upto if row.mode == "overwrite"], default=known[0])
         visible = [row for row in upto if row.version >= start]
         schema = _merged([T.StructType.fromJson(json.loads(row.schema_json)) for row in visible])
+        columns = list(schema.names)
         df = self.spark.read.schema(schema.add("_version", T.IntegerType())).parquet(f"{self.path}/data")
-        return df.filter(F.col("_version").isin([row.version for row in visible])).drop("_version")
+        return df.filter(F.col("_version").isin([row.version for row in visible])).select(*columns)
 
     # -- write ------------------------------------------------------------------------------
     def append(self, df: DataFrame, operation: str = "APPEND", batch_id: int | None = None) -> int:
@@ -89,7 +94,8 @@ class SnapshotTable:
         versions = self.versions()
         version = versions[-1] + 1 if versions else 0
         seen = Observation(f"write-{uuid.uuid4().hex}")
-        df.observe(seen, *_metrics(self.stats)).write.mode("overwrite").parquet(f"{self.path}/data/_version={version}")
+        writer = df.observe(seen, *_metrics(self.stats)).write.mode("overwrite").partitionBy(*self.partition_by)
+        writer.parquet(f"{self.path}/data/_version={version}")
         metrics = {k: str(v) for k, v in seen.get.items() if v is not None}
         pairs = [F.lit(x) for pair in metrics.items() for x in pair]
         commit = self.spark.range(1).select(

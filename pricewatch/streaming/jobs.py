@@ -3,8 +3,6 @@ replayed batch adds nothing twice."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -14,7 +12,7 @@ from pricewatch.functions import text
 from pricewatch.operators.alerts import ALERT_COLUMNS, classify_changes, with_previous
 from pricewatch.operators.enrich import add_provenance
 from pricewatch.operators.slices import newest_per_key
-from pricewatch.session import broadcast_if_small, cut_lineage
+from pricewatch.session import broadcast_if_small
 from pricewatch.sinks import live
 from pricewatch.sources.snapshots import SnapshotTable
 
@@ -115,29 +113,24 @@ def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, slic
         rows = rows.filter(F.col("price").isNotNull() & (F.col("price") > 0) & F.col("event_time").isNotNull())
         seen = last.select("commodity", F.struct("event_time", "message_id").alias("_last"))
         is_late = F.struct("event_time", "message_id") <= F.col("_last")
-        marked = cut_lineage(
-            rows.join(broadcast_if_small(seen), "commodity", "left").withColumn("_late", F.coalesce(is_late, F.lit(False)))
-        ).drop("_last")
-        fresh = marked.filter(~F.col("_late")).withColumn("_state", F.lit(False)).drop("_late")
-        both = fresh.unionByName(last.withColumn("_state", F.lit(True)))
-
-        # State rows only serve as predecessors of the new rows.
-        previous = with_previous(both, slices, keep=("_state",)).filter(~F.col("_state"))
-        changes = classify_changes(previous, threshold)
-        changes.withColumn("hour", F.hour("event_time")).select(*ALERT_COLUMNS).write.mode("overwrite").parquet(
-            f"{path}/alerts/batch={batch_id}"
-        )
-        marked.filter("_late").drop("_late").write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
-        newest = newest_per_key(both, ["commodity"], [F.desc("event_time"), F.desc("message_id")], 1)
-        newest.select("commodity", "event_time", "message_id", "price").write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        marked = rows.join(broadcast_if_small(seen), "commodity", "left")
+        marked = marked.withColumn("_late", F.coalesce(is_late, F.lit(False))).drop("_last").persist()
+        try:
+            fresh = marked.filter(~F.col("_late")).withColumn("_state", F.lit(False)).drop("_late")
+            both = fresh.unionByName(last.withColumn("_state", F.lit(True)))
+            # State rows only serve as predecessors of the new rows.
+            previous = with_previous(both, slices, keep=("_state",)).filter(~F.col("_state"))
+            changes = classify_changes(previous, threshold).withColumn("hour", F.hour("event_time"))
+            newest = newest_per_key(both, ["commodity"], [F.desc("event_time"), F.desc("message_id")], 1)
+            outputs = {
+                "alerts": changes.select(*ALERT_COLUMNS),
+                "late": marked.filter("_late").drop("_late"),
+                "state": newest.select("commodity", "event_time", "message_id", "price"),
+            }
+            for name, out in outputs.items():
+                out.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        finally:
+            marked.unpersist()
 
     return stream.writeStream.foreachBatch(write)
 
-
-def each_batch(stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str) -> DataStreamWriter:
-    """Write the result of ``make`` for every batch to its own folder."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        make(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return stream.writeStream.foreachBatch(write)

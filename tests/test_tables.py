@@ -83,6 +83,18 @@ def test_snapshots(spark):
         table.read(9)
 
 
+def test_partitioned_snapshots(spark, capsys):
+    table = SnapshotTable(spark, new_dir(spark, "t"), partition_by=("obs_date",))
+    df = adapters.ticks(spark, SF).select(F.to_date("event_time").alias("obs_date"), "message_id", "price")
+    table.overwrite(df)
+    got = table.read()
+    assert got.columns == df.columns and got.dtypes == df.dtypes
+    assert got.exceptAll(df).isEmpty() and got.count() == df.count()
+    got.filter("obs_date = '2024-01-05'").explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters")]
+    assert len(filters) == 1 and "_version" in filters[0] and "= 2024-01-05" in filters[0]
+
+
 def test_uncommitted_write_is_invisible(spark):
     table = SnapshotTable(spark, new_dir(spark, "t"))
     rows = spark.range(3)
