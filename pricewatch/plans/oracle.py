@@ -370,6 +370,46 @@ SQL["export_tables"] = f"WITH {TICKS}, {DAILY}, {NEWS} " + " UNION ALL ".join(
     ]
 )
 
+
+
+def rows(src: str, columns: str, order: str, n: int = 10_000) -> str:
+    """Ordered rows of a query as a list of structs; columns may be ``name`` or ``name=expression``."""
+    pairs = [c.partition("=") for c in columns.split("; ")]
+    struct = ", ".join(f"'{k.strip()}': {v or k}" for k, _, v in pairs)
+    return f"""coalesce((SELECT list({{{struct}}} ORDER BY pos) FROM (
+      SELECT *, row_number() OVER (ORDER BY {order}) AS pos FROM ({src})) WHERE pos <= {n}), [])"""
+
+
+SUMMARY = SQL["trend_summary"].split(f"WITH {TICKS}, s AS (")[1].split(")\n  SELECT *")[0]
+ANALYSES = f"""{{'volatility': {rows(ranges('ticks'), "commodity; label; max_price; min_price; avg_price; stddev_price; n_obs; range_index", "range_index DESC, commodity, label")},
+  'price_trend': {rows(SUMMARY, "commodity; label; avg_price; min_price; max_price; n_days; n_obs", "avg_price DESC, commodity, label")},
+  'news_correlation': {rows(MENTION_CORR, "commodity; label; range_index; avg_price; n_mentions; coverage_class", "n_mentions DESC, range_index DESC, commodity, label")}}}"""
+SQL["results_document"] = f"""WITH {TICKS}, {ENTRIES} SELECT CAST(to_json({{'metadata': {{'generated_at': '2024-02-01T00:00:00',
+  'total_prices': (SELECT count(*) FROM events), 'total_news': (SELECT count(*) FROM documents)}}, 'analyses': {ANALYSES}}}) AS VARCHAR) AS document"""
+LIVE_P = rows(
+    "SELECT * FROM mixed WHERE topic = 'prices'",
+    "commodity; label; price; unit='kg'; region='Nasional'; ref_price=NULL; ref_change_pct=NULL; source_name='simulator'; "
+    "obs_date=''; obs_time=''; ts_iso; message_id",
+    "arrived DESC, message_id",
+    20,
+)
+LIVE_N = rows(
+    "SELECT * FROM mixed WHERE topic = 'news'",
+    "title; link; summary=left(summary, 300); commodity; ts_text; published; source_feed",
+    "arrived DESC, link, title",
+    20,
+)
+SQL["dashboard_payload"] = f"""WITH {TICKS}, {MIXED} SELECT CAST(to_json({{'server_time': '2024-02-01T00:00:00',
+  'live_prices': {LIVE_P}, 'news': {LIVE_N}, 'analyses': {ANALYSES},
+  'status': {{'analyses_ok': true, 'live_ok': true, 'news_ok': true}}}}) AS VARCHAR) AS document"""
+DAY = "strftime(obs_date, '%Y-%m-%d')"
+SQL["export_document"] = f"""WITH {TICKS}, {DAILY}, {NEWS} SELECT CAST(to_json({{
+  'volatility': {rows(cv('ticks'), "commodity; mean_price; stddev_price; min_price; max_price; n_obs; cv_index; status", "cv_index DESC, commodity", 50)},
+  'trend': {rows(TREND, f"commodity; obs_date={DAY}; hour; dow; avg_price; min_price; max_price; n_obs", "commodity, obs_date, hour", 100)},
+  'alert': {rows(alerts('daily', 'event_time'), f"commodity; price; prev_price; pct_change; direction; status; obs_date={DAY}; hour; event_time=strftime(event_time, {ISO})", "pct_change DESC, commodity, event_time", 50)},
+  'news_correlation': {rows(CORRELATION, "commodity; n_news; news_morning; news_afternoon; news_evening; mean_price; stddev_price; cv_index; status; n_price_obs; coverage_class", "n_news DESC, commodity", 50)}
+  }}) AS VARCHAR) AS document"""
+
 O = "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders"
 U = "SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'REVIEW' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate FROM orders"
 SQL["snapshot_as_of"] = O
