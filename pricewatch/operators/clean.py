@@ -84,11 +84,9 @@ def tag(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     return df.withColumn("reject_reason", reason)
 
 
-def standardise(df: DataFrame, s: Settings) -> DataFrame:
-    """Clean rows in their final form: typed time, hour, day of week (1 = Sunday), plain key."""
-    out = df.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    out = out.withColumn("event_time", event_time(s))
-    return out.withColumns(
+def typed(df: DataFrame, s: Settings) -> DataFrame:
+    """Final form of the columns: typed time, hour, day of week (1 = Sunday), plain commodity key."""
+    return df.withColumn("event_time", event_time(s)).withColumns(
         {
             "hour": F.hour("event_time"),
             "dow": F.dayofweek("event_time"),
@@ -97,6 +95,11 @@ def standardise(df: DataFrame, s: Settings) -> DataFrame:
     )
 
 
+def accepted(tagged: DataFrame) -> DataFrame:
+    """Rows without a reject reason."""
+    return tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
 def dedup_prices(df: DataFrame) -> DataFrame:
     return keep_one(df, PRICE_KEY, [F.col("ts_iso").desc_nulls_last()])
 
@@ -105,24 +108,34 @@ def dedup_news(df: DataFrame) -> DataFrame:
     return keep_one(df, NEWS_KEY, [F.col("ts_text").desc_nulls_last()])
 
 
+def tagged_prices(df: DataFrame, s: Settings) -> DataFrame:
+    """Deduplicated price rows in final form, each with its reject reason. Rows of other topics
+    skip the price test."""
+    return typed(tag(dedup_prices(df), price_rules(s)), s)
+
+
+def tagged_news(df: DataFrame, s: Settings) -> DataFrame:
+    return typed(tag(dedup_news(df), news_rules(s)), s)
+
+
 def clean_prices(df: DataFrame, s: Settings) -> DataFrame:
-    """Price table: deduplicated, validated, typed. Rows of other topics skip the price test."""
-    return standardise(tag(dedup_prices(df), price_rules(s)), s)
+    return accepted(tagged_prices(df, s))
 
 
 def clean_news(df: DataFrame, s: Settings) -> DataFrame:
-    return standardise(tag(dedup_news(df), news_rules(s)), s)
+    return accepted(tagged_news(df, s))
 
 
-def accounting(table: str, raw: DataFrame, deduped: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+def accounting(table: str, raw: DataFrame, tagged: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     """Rows before and after each rule, rows removed and the percentage (0 for no input).
 
-    The counts come from two aggregations: the raw row count and one count per reason.
+    The counts come from two aggregations: the raw row count and one count per reason of the
+    deduplicated, tagged rows.
     """
     order = ["duplicate"] + [name for name, _ in rules]
     names = ["n_raw", "n_unique"] + [f"n_{name}" for name, _ in rules]
     total = raw.agg(F.count(F.lit(1)).alias("n_raw"))
-    reasons = tag(deduped, rules).agg(
+    reasons = tagged.agg(
         F.count(F.lit(1)).alias("n_unique"),
         *[F.count_if(F.col("reject_reason") == name).alias(f"n_{name}") for name, _ in rules],
     )
@@ -148,11 +161,11 @@ def accounting(table: str, raw: DataFrame, deduped: DataFrame, rules: list[tuple
 
 
 def price_accounting(raw: DataFrame, s: Settings) -> DataFrame:
-    return accounting("prices", raw, dedup_prices(raw), price_rules(s))
+    return accounting("prices", raw, tagged_prices(raw, s), price_rules(s))
 
 
 def news_accounting(raw: DataFrame, s: Settings) -> DataFrame:
-    return accounting("news", raw, dedup_news(raw), news_rules(s))
+    return accounting("news", raw, tagged_news(raw, s), news_rules(s))
 
 
 def cleaning_summary(steps: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ from pricewatch.sinks import documents
 from pricewatch.sources.snapshots import SnapshotTable
 
 
+#: File layout of the layers.
+PARTITIONS = {"silver": ("reject_reason",)}
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     spark: SparkSession
@@ -19,7 +23,7 @@ class Lakehouse:
     settings: clean.Settings = clean.Settings()
 
     def table(self, layer: str, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{layer}/{name}")
+        return SnapshotTable(self.spark, f"{self.root}/{layer}/{name}", partition_by=PARTITIONS.get(layer, ()))
 
     def bronze(self, name: str, messages: DataFrame, source: str) -> SnapshotTable:
         """Append messages with their provenance."""
@@ -28,20 +32,29 @@ class Lakehouse:
         return table
 
     def silver(self) -> None:
-        """Rewrite both cleaned tables from the raw ones."""
-        for name, rule in (("prices", clean.clean_prices), ("news", clean.clean_news)):
+        """Rewrite both cleaned tables from the raw ones.
+
+        Rejected rows are kept beside the clean ones, in partitions of their own: one pass gives
+        the table, the rejects and the counts.
+        """
+        for name, rule in (("prices", clean.tagged_prices), ("news", clean.tagged_news)):
             rows = rule(self.table("bronze", name).read(), self.settings)
             self.table("silver", name).overwrite(enrich.add_audit(rows))
 
+    def cleaned(self, name: str) -> DataFrame:
+        return clean.accepted(self.table("silver", name).read())
+
     def accounting(self) -> DataFrame:
-        """Rows removed by each cleaning rule of both tables."""
-        prices = clean.price_accounting(self.table("bronze", "prices").read(), self.settings)
-        return prices.unionByName(clean.news_accounting(self.table("bronze", "news").read(), self.settings))
+        """Rows removed by each cleaning rule of both tables, counted from the written tables."""
+        parts = [
+            clean.accounting(name, self.table("bronze", name).read(), self.table("silver", name).read(), rules(self.settings))
+            for name, rules in (("prices", clean.price_rules), ("news", clean.news_rules))
+        ]
+        return parts[0].unionByName(parts[1])
 
     def gold(self) -> None:
         """Rewrite the four aggregated tables. They are unsorted; readers sort what they show."""
-        prices = self.table("silver", "prices").read()
-        news = self.table("silver", "news").read()
+        prices, news = self.cleaned("prices"), self.cleaned("news")
         tables = {
             "volatility": volatility.cv_volatility(prices),
             "trend": volatility.trend_periodic(prices),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from pricewatch import schemas
-from pricewatch.operators import enrich
+from pricewatch.operators import clean, enrich
 from pricewatch.plans import lakehouse, queries
 from pricewatch.session import new_dir, shared_dir
 from pricewatch.sinks import documents, live, publish
@@ -174,11 +174,16 @@ def test_lakehouse(spark):
     house.bronze("news", rows.filter("topic = 'news'"), "news")
     house.silver()
     house.gold()
-    silver, bronze = house.table("silver", "prices").read(), house.table("bronze", "prices").read()
+    silver, bronze = house.cleaned("prices"), house.table("bronze", "prices").read()
     assert bronze.columns == schemas.BRONZE_COLUMNS
     assert 0 < silver.count() <= bronze.count()
     steps = house.accounting().filter("table_name = 'prices'").agg(F.sum("n_removed")).first()[0]
     assert bronze.count() - silver.count() == steps
+    direct = clean.price_accounting(bronze, queries.SETTINGS)
+    assert direct.exceptAll(house.accounting().filter("table_name = 'prices'")).isEmpty()
+    assert silver.select("message_id", "price", "event_time").exceptAll(
+        clean.clean_prices(bronze, queries.SETTINGS).select("message_id", "price", "event_time")
+    ).isEmpty()
     gold = house.table("gold", "volatility")
     before = gold.latest_version()
     house.review_critical()
