@@ -25,6 +25,16 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_query(spark, duck, name):
-    message, ok, _ = compare(spark, duck, name, QUERIES[name], SQL.get(name), SF)
+def test_query(spark, duck, name, capsys):
+    """Same rows as the SQL, and no plan with a cross join or a Python worker."""
+
+    def run(session, sf_dir):
+        df = QUERIES[name](session, sf_dir)
+        df.explain()
+        return df
+
+    message, ok, _ = compare(spark, duck, name, run, SQL.get(name), SF)
+    plan = capsys.readouterr().out
     assert ok, message
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert operator not in plan

@@ -108,3 +108,30 @@ def test_fan_out_views_follow_the_stream(spark):
     assert {r.message_id for r in prices.read().collect()} == {r.message_id for r in want.collect()}
     assert news.read().count() == 10
     assert spark.read.schema("type string").json(f"{root}/feed").count() == 1200
+
+
+def test_running_query_is_drained_on_stop(spark):
+    root = new_dir(spark, "stop")
+    adapters.mixed(spark, SF).write.json(f"{root}/in")
+    job = jobs.land(streams.read_files(spark, f"{root}/in"), f"{root}/out")
+    query = runner.start(job, f"{root}/checkpoint", every="1 second")
+    runner.stop_all(spark)
+    assert not query.isActive
+    assert spark.read.schema("topic string, link string").json(f"{root}/out").count() == 1200
+
+
+def test_trend_over_batches_equals_batch(spark):
+    root = new_dir(spark, "trend")
+    ticks = adapters.ticks(spark, SF).select("message_id", "commodity", "price", "event_time")
+    for a, b in (("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-02-01")):
+        part = ticks.filter((F.col("event_time") >= F.lit(a)) & (F.col("event_time") < F.lit(b)))
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
+        stream = stream.withColumn("event_time", F.col("event_time").cast("timestamp"))
+        writer = jobs.hourly_trend(stream, "30 minutes").writeStream.outputMode("append").format("parquet")
+        runner.drain(writer.option("path", f"{root}/out"), f"{root}/checkpoint")
+    got = spark.read.parquet(f"{root}/out")
+    last = ticks.agg(F.max("event_time").cast("timestamp") - F.expr("interval 30 minutes")).first()[0]
+    want = ticks.groupBy("commodity", F.date_trunc("hour", "event_time").alias("h")).agg(F.count("price").alias("n"))
+    want = want.filter(F.col("h") + F.expr("interval 1 hour") <= F.lit(last))
+    assert rows_of(got.select("commodity", "hour_start", "n_obs")) == rows_of(want)
