@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewatch import dims
@@ -13,12 +13,17 @@ from pricewatch.operators.slices import sliced_window
 ORDER = ["event_time", "message_id"]
 
 
-def with_previous(prices: DataFrame, slices: int | None = None, keep: tuple[str, ...] = ("hour",)) -> DataFrame:
-    """Add ``prev_price``, equal times being ordered by message id."""
+def _hour() -> Column:
+    """Bucket of the sliced windows."""
+    return F.date_trunc("hour", F.col("event_time"))
+
+
+def with_previous(prices: DataFrame, keep: tuple[str, ...] = ("hour",), **limits: int) -> DataFrame:
+    """Add ``prev_price``, equal times being ordered by message id. ``limits`` are those of the
+    sliced window: ``max_rows`` per bucket, number of ``slices``."""
     rows = priced(prices, "event_time").select("commodity", *ORDER, "price", *keep)
-    return sliced_window(
-        rows, ["commodity"], ORDER, 1, {"prev_price": lambda w: F.lag("price", 1).over(w)}, slices
-    )
+    exprs = {"prev_price": lambda w: F.lag("price", 1).over(w)}
+    return sliced_window(rows, ["commodity"], ORDER, 1, exprs, _hour(), **limits)
 
 
 def classify_changes(df: DataFrame, threshold: float = dims.ALERT_PCT) -> DataFrame:
@@ -41,9 +46,9 @@ ALERT_COLUMNS = [
 ]
 
 
-def price_alert(prices: DataFrame, threshold: float = dims.ALERT_PCT, slices: int | None = None) -> DataFrame:
+def price_alert(prices: DataFrame, threshold: float = dims.ALERT_PCT, **limits: int) -> DataFrame:
     """Alert table for raw observations of any number per commodity."""
-    return classify_changes(with_previous(prices, slices), threshold).select(*ALERT_COLUMNS)
+    return classify_changes(with_previous(prices, **limits), threshold).select(*ALERT_COLUMNS)
 
 
 def price_alert_daily(daily: DataFrame, threshold: float = dims.ALERT_PCT) -> DataFrame:
@@ -75,25 +80,18 @@ def daily_mean(prices: DataFrame) -> DataFrame:
     )
 
 
-def alert_last3(prices: DataFrame, threshold: float = dims.ALERT_PCT, slices: int | None = None) -> DataFrame:
+def alert_last3(prices: DataFrame, threshold: float = dims.ALERT_PCT, **limits: int) -> DataFrame:
     """Rise above the lowest of the last three observations."""
     rows = priced(prices, "event_time").select("commodity", *ORDER, "price")
-    low = sliced_window(
-        rows, ["commodity"], ORDER, 3, {"low3": lambda w: F.min("price").over(w.rowsBetween(-3, -1))}, slices
-    )
+    exprs = {"low3": lambda w: F.min("price").over(w.rowsBetween(-3, -1))}
+    low = sliced_window(rows, ["commodity"], ORDER, 3, exprs, _hour(), **limits)
     return low.withColumn("rise_pct", numbers.change_pct(F.col("price"), F.col("low3"))).filter(
         F.col("rise_pct") > threshold
     )
 
 
-def rolling_mean(prices: DataFrame, back: int = 2, slices: int | None = None) -> DataFrame:
+def rolling_mean(prices: DataFrame, back: int = 2, **limits: int) -> DataFrame:
     """Mean of the current and the ``back`` previous observations."""
     rows = priced(prices, "event_time").select("commodity", *ORDER, "price")
-    return sliced_window(
-        rows,
-        ["commodity"],
-        ORDER,
-        back,
-        {"rolling_avg": lambda w: F.round(F.avg("price").over(w.rowsBetween(-back, 0)), 2)},
-        slices,
-    )
+    exprs = {"rolling_avg": lambda w: F.round(F.avg("price").over(w.rowsBetween(-back, 0)), 2)}
+    return sliced_window(rows, ["commodity"], ORDER, back, exprs, _hour(), **limits)

@@ -1,8 +1,9 @@
 """Ordered windows over keys that may hold a large share of all rows.
 
 ``Window.partitionBy(commodity)`` would send every row of a commodity to one task. Here the rows
-are range-partitioned on (key, order) first, so a hot key is spread over many slices of even
-size, and each slice is preceded by the few rows of earlier slices that a bounded look-back needs.
+of a key are cut into slices along the order, the window runs inside each slice, and the few rows
+at the start of a slice, whose look-back crosses into earlier slices, are computed again from the
+rows at the slice borders.
 """
 
 from __future__ import annotations
@@ -14,6 +15,24 @@ from pyspark.sql import functions as F
 
 from pricewatch.session import cut_lineage
 
+#: Most rows of one key and bucket that may meet in a task.
+SLICE_ROWS = 5_000_000
+
+
+def _slices(
+    df: DataFrame, keys: list[str], order_by: list[str], bucket: Column | None, slices: int | None, max_rows: int
+) -> DataFrame:
+    """Add ``_slice``. The bucket is used if the largest one, which is counted first, is small
+    enough: it needs no shuffle of its own. Otherwise the rows are range-partitioned on key and
+    order, which splits keys, buckets and even single instants of any size evenly."""
+    if bucket is not None:
+        sizes = df.groupBy(*keys, bucket.alias("_slice")).agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= max_rows:
+            return df.withColumn("_slice", bucket)
+    ranged = [F.col(c) for c in keys + order_by]
+    df = df.repartitionByRange(slices, *ranged) if slices else df.repartitionByRange(*ranged)
+    return df.withColumn("_slice", F.spark_partition_id())
+
 
 def sliced_window(
     df: DataFrame,
@@ -21,37 +40,33 @@ def sliced_window(
     order_by: list[str],
     depth: int,
     exprs: dict[str, Callable[[WindowSpec], Column]],
+    bucket: Column | None = None,
     slices: int | None = None,
+    max_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add window columns that look back at most ``depth`` rows; equal to the plain window.
 
-    ``order_by`` must order the rows of a key completely (end it with a message id). The range
-    bounds come from a sample, so the sliced rows are written once and both reads below see
-    the same slices even if tasks run again.
+    ``order_by`` must order the rows of a key completely (end it with a message id) and
+    ``bucket`` must grow with it, such as the hour of the time. The sliced result is written
+    once to the checkpoint folder, since two steps read it and must see the same slices.
     """
-    columns = df.columns
-    ranged = [F.col(c) for c in keys + order_by]
-    df = df.repartitionByRange(slices, *ranged) if slices else df.repartitionByRange(*ranged)
-    df = cut_lineage(df.withColumn("_slice", F.spark_partition_id()))
-
-    # Last ``depth`` rows of each slice: the ranking filter keeps them before any shuffle.
-    newest = Window.partitionBy(*keys, "_slice").orderBy(*[F.desc(c) for c in order_by])
-    tails = df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= depth)
-
-    # Tails are few (depth x slices per key). The first one of a slice collects what precedes it.
-    per_key = Window.partitionBy(*keys).orderBy("_slice", F.desc("_rank"))
-    carried = (
-        tails.withColumn("_before", F.collect_list(F.struct(*columns)).over(per_key.rowsBetween(-depth, -1)))
-        .withColumn("_prior_slice", F.lag("_slice").over(per_key))
-        .filter(F.col("_prior_slice") != F.col("_slice"))
-        .select("_slice", F.explode("_before").alias("_row"))
-        .select(*[F.col(f"_row.{c}").alias(c) for c in columns], "_slice", F.lit(True).alias("_carried"))
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
+    marked = cut_lineage(
+        _slices(df, keys, order_by, bucket, slices, max_rows).select(
+            *df.columns,
+            *[make(inside).alias(name) for name, make in exprs.items()],
+            F.row_number().over(inside).alias("_n"),
+            F.lead(F.lit(1), depth).over(inside).isNull().alias("_tail"),
+        )
     )
-
-    window = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
-    both = df.withColumn("_carried", F.lit(False)).unionByName(carried)
-    both = both.select("*", *[make(window).alias(name) for name, make in exprs.items()])
-    return both.filter(~F.col("_carried")).drop("_slice", "_carried")
+    # Rows with a full look-back inside their slice are done.
+    done = marked.filter(F.col("_n") > depth).drop("_n", "_tail")
+    # Around the start of a slice all rows that count are first or last ones of a slice: at most
+    # 2 x depth rows per key and slice, so this window per key stays small.
+    border = marked.filter((F.col("_n") <= depth) | F.col("_tail")).select(*df.columns, "_n")
+    across = Window.partitionBy(*keys).orderBy(*order_by)
+    starts = border.select("*", *[make(across).alias(name) for name, make in exprs.items()])
+    return done.unionByName(starts.filter(F.col("_n") <= depth).drop("_n"))
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order_by: list[Column], n: int, salts: int = 64) -> DataFrame:

@@ -96,7 +96,7 @@ def hourly_trend(stream: DataFrame, delay: str = "1 hour", time_column: str = "e
 STATE = "commodity string, event_time timestamp_ntz, message_id string, price double"
 
 
-def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, slices: int | None = None) -> DataStreamWriter:
+def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, **limits: int) -> DataStreamWriter:
     """Alerts against the previous observation, across batches.
 
     The state is the last observation of each commodity, written per batch; batch N reads the
@@ -119,7 +119,7 @@ def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, slic
             fresh = marked.filter(~F.col("_late")).withColumn("_state", F.lit(False)).drop("_late")
             both = fresh.unionByName(last.withColumn("_state", F.lit(True)))
             # State rows only serve as predecessors of the new rows.
-            previous = with_previous(both, slices, keep=("_state",)).filter(~F.col("_state"))
+            previous = with_previous(both, keep=("_state",), **limits).filter(~F.col("_state"))
             changes = classify_changes(previous, threshold).withColumn("hour", F.hour("event_time"))
             newest = newest_per_key(both, ["commodity"], [F.desc("event_time"), F.desc("message_id")], 1)
             outputs = {

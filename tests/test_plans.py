@@ -30,13 +30,23 @@ def test_aggregates_hash(plan, query):
     assert "SortAggregate" not in plan(query)
 
 
-def test_alert_window_is_sliced(plan):
-    p = plan(q.price_alert_scaled)
-    windows = re.findall(r"windowspecdefinition\((.*?) ASC", p)
-    lag_on_rows = [w for w in windows if "_slice" in w.split(",")[1]]
-    assert lag_on_rows
-    # The only window per commodity alone runs over the slice tails.
-    assert p.count("WindowGroupLimit") >= 2
+def test_rows_are_shuffled_by_key_and_slice(spark, plan):
+    from pricewatch.operators.slices import _slices
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from pricewatch.sources import adapters
+
+    ticks = adapters.ticks(spark, SF).select("commodity", "event_time", "message_id", "price")
+    window = Window.partitionBy("commodity", "_slice").orderBy("event_time", "message_id")
+    keys, order, bucket = ["commodity"], ["event_time", "message_id"], F.date_trunc("hour", F.col("event_time"))
+
+    def exchanges(max_rows):
+        sliced = _slices(ticks, keys, order, bucket, None, max_rows)
+        return re.findall(r"(hashpartitioning|rangepartitioning)\((.*?),", plan(lambda *_: sliced.withColumn("p", F.lag("price").over(window))))
+
+    assert [kind for kind, _ in exchanges(10**6)] == ["hashpartitioning"]
+    assert [kind for kind, _ in exchanges(1)] == ["rangepartitioning", "hashpartitioning"]
 
 
 def test_dedup_and_newest_reduce_before_the_shuffle(plan):

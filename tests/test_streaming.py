@@ -24,7 +24,7 @@ def test_alerts_over_batches_equal_batch(spark):
         part = ticks.filter((F.col("event_time") >= F.lit(a)) & (F.col("event_time") < F.lit(b)))
         part.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
-        runner.drain(jobs.alerts(stream, f"{root}/out", slices=5), f"{root}/checkpoint")
+        runner.drain(jobs.alerts(stream, f"{root}/out", max_rows=3, slices=5), f"{root}/checkpoint")
     got = spark.read.parquet(f"{root}/out/alerts").select(*alerts.ALERT_COLUMNS)
     want = alerts.price_alert(adapters.ticks(spark, SF))
     assert rows_of(got) == rows_of(want)

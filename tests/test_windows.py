@@ -34,13 +34,34 @@ def test_sliced_window_equals_plain(spark, instants, n_slices, depth):
         "low": lambda w: F.min("price").over(w.rowsBetween(-depth, -1)),
     }
     order = ["event_time", "message_id"]
-    got = slices.sliced_window(df, ["commodity"], order, depth, exprs, n_slices)
+    got = slices.sliced_window(df, ["commodity"], order, depth, exprs, slices=n_slices)
     plain = Window.partitionBy("commodity").orderBy(*order)
     want = df.select("*", *[make(plain).alias(k) for k, make in exprs.items()])
     assert got.count() == df.count()
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("unit", ["minute", "hour", "day"])
+@pytest.mark.parametrize("max_rows", [5, 10**6])
+def test_bucketed_window_equals_plain(spark, unit, max_rows):
+    """A bucket within the limit is used; beyond it the rows are range-partitioned."""
+    df = ticks(spark, 400, 11, 3000)
+    exprs = {"prev": lambda w: F.lag("price", 2).over(w)}
+    bucket = F.date_trunc(unit, F.col("event_time"))
+    got = slices.sliced_window(df, ["commodity"], ["event_time", "message_id"], 2, exprs, bucket, max_rows=max_rows)
+    plain = Window.partitionBy("commodity").orderBy("event_time", "message_id")
+    want = df.withColumn("prev", F.lag("price", 2).over(plain))
+    assert got.count() == df.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_window_of_nothing(spark):
+    exprs = {"prev": lambda w: F.lag("price", 1).over(w)}
+    bucket = F.date_trunc("hour", F.col("event_time"))
+    none = spark.createDataFrame([], SCHEMA)
+    assert slices.sliced_window(none, ["commodity"], ["event_time", "message_id"], 1, exprs, bucket).count() == 0
+
+
 def test_hot_key_is_spread_over_slices(spark):
     df = ticks(spark, 4000, 1, 1, hot=1.0)
     ranged = df.repartitionByRange(8, "commodity", "event_time", "message_id")
@@ -51,7 +72,7 @@ def test_hot_key_is_spread_over_slices(spark):
 def test_fewer_rows_than_depth(spark):
     df = ticks(spark, 12, 5, 100, hot=0.2, commodities=8)
     got = slices.sliced_window(
-        df, ["commodity"], ["event_time", "message_id"], 3, {"n": lambda w: F.count("price").over(w.rowsBetween(-3, -1))}, 12
+        df, ["commodity"], ["event_time", "message_id"], 3, {"n": lambda w: F.count("price").over(w.rowsBetween(-3, -1))}, slices=12
     )
     plain = Window.partitionBy("commodity").orderBy("event_time", "message_id").rowsBetween(-3, -1)
     want = df.withColumn("n", F.count("price").over(plain))
