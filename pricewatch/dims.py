@@ -61,7 +61,6 @@ GENERAL = "umum"
 MARKUP = {"jagung": 1.8, "kedelai": 1.5, "gula": 2.2}
 DEFAULT_MARKUP = 1.5
 USD_RATE = 15800
-INDICATOR_SERIES = {"jagung": "PMAIZMMT", "kedelai": "PSOYB", "gula": "PSUGAUSA"}
 
 PRICE_MIN, PRICE_MAX = 100.0, 1_000_000.0
 CV_WARNING, CV_CRITICAL = 10.0, 20.0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -216,9 +217,7 @@ def priority_fill(sources: Sequence[DataFrame], key: str = "commodity") -> DataF
     row each before they are compared, so the rows themselves are not shuffled by key.
     """
     ranked = [s.withColumn("_priority", F.lit(i)) for i, s in enumerate(sources)]
-    rows = ranked[0]
-    for other in ranked[1:]:
-        rows = rows.unionByName(other)
+    rows = reduce(DataFrame.unionByName, ranked)
     best = rows.groupBy(key).agg(F.min("_priority").alias("_best"))
     picked = rows.join(broadcast_if_small(best), key)
     return picked.filter(F.col("_priority") == F.col("_best")).drop("_priority", "_best")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -555,19 +556,11 @@ def export_tables(spark: SparkSession, sf: str) -> DataFrame:
     lead = {"volatility": "cv_index", "trend": "avg_price", "alert": "pct_change", "news_correlation": "n_news"}
     parts = []
     for name, (table, order, n) in lakehouse.export_sections(*_gold(spark, sf)).items():
-        rows = documents.top(table, order, n)
-        when = documents.iso_times(rows.select("event_time")).columns if name == "alert" else None
-        iso = times.iso_text(F.col("event_time")) if when else F.lit(None).cast("string")
-        parts.append(
-            rows.select(
-                F.lit(name).alias("section"), "position", "commodity",
-                F.col(lead[name]).cast("double").alias("value"), iso.alias("at"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows = documents.iso_times(documents.top(table, order, n))
+        at = F.col("event_time") if "event_time" in rows.columns else F.lit(None).cast("string")
+        value = F.col(lead[name]).cast("double").alias("value")
+        parts.append(rows.select(F.lit(name).alias("section"), "position", "commodity", value, at.alias("at")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

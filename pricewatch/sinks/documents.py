@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,9 +55,7 @@ def rows_as_array(df: DataFrame, order_by: list[Column], n: int | None = None) -
 def document(sections: dict[str, DataFrame]) -> DataFrame:
     """One row, one column per section, from one-row DataFrames with a ``rows`` or named value."""
     parts = [df.select(F.col(df.columns[0]).alias(name)) for name, df in sections.items()]
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p, allowMissingColumns=True)
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return merged.agg(*[F.first(name, ignorenulls=True).alias(name) for name in sections])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,8 +90,6 @@ def read_merged(spark: SparkSession, *paths: str) -> DataFrame:
 
 def count_rows(**tables: DataFrame) -> DataFrame:
     """One row per named table with its row count."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("table_name"), "n_rows") for k, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")) for df in tables.values()]
+    named = [n.select(F.lit(k).alias("table_name"), "n_rows") for k, n in zip(tables, counts)]
+    return reduce(DataFrame.unionByName, named)

@@ -55,7 +55,7 @@ class SnapshotTable:
 
     # -- read -------------------------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
-        """The table as of a version (default: the latest). Other versions' files are pruned."""
+        """The table as of a version (default: the latest). Only its own folders are listed and read."""
         log = self._log()
         known = [row.version for row in log]
         version = (known[-1] if known else None) if version is None else version
@@ -66,8 +66,9 @@ class SnapshotTable:
         visible = [row for row in upto if row.version >= start]
         schema = _merged([T.StructType.fromJson(json.loads(row.schema_json)) for row in visible])
         columns = list(schema.names)
-        df = self.spark.read.schema(schema.add("_version", T.IntegerType())).parquet(f"{self.path}/data")
-        return df.filter(F.col("_version").isin([row.version for row in visible])).select(*columns)
+        folders = [f"{self.path}/data/_version={row.version}" for row in visible]
+        reader = self.spark.read.schema(schema.add("_version", T.IntegerType()))
+        return reader.option("basePath", f"{self.path}/data").parquet(*folders).select(*columns)
 
     # -- write ------------------------------------------------------------------------------
     def append(self, df: DataFrame, operation: str = "APPEND", batch_id: int | None = None) -> int:
@@ -98,7 +99,7 @@ class SnapshotTable:
         writer.parquet(f"{self.path}/data/_version={version}")
         metrics = {k: str(v) for k, v in seen.get.items() if v is not None}
         pairs = [F.lit(x) for pair in metrics.items() for x in pair]
-        commit = self.spark.range(1).select(
+        commit = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).alias("version"),
             F.current_timestamp().alias("committed_at"),
             F.lit(operation).alias("operation"),
@@ -108,7 +109,7 @@ class SnapshotTable:
             F.create_map(*pairs).alias("metrics"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
-        commit.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/version={version}")
+        commit.write.mode("overwrite").json(f"{self.path}/commits/version={version}")
         return version
 
     # -- inspection -------------------------------------------------------------------------

@@ -92,7 +92,7 @@ def test_partitioned_snapshots(spark, capsys):
     assert got.exceptAll(df).isEmpty() and got.count() == df.count()
     got.filter("obs_date = '2024-01-05'").explain("formatted")
     filters = [line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters")]
-    assert len(filters) == 1 and "_version" in filters[0] and "= 2024-01-05" in filters[0]
+    assert len(filters) == 1 and "= 2024-01-05" in filters[0]
 
 
 def test_uncommitted_write_is_invisible(spark):
@@ -105,12 +105,12 @@ def test_uncommitted_write_is_invisible(spark):
     assert table.read().count() == 6
 
 
-def test_version_filter_prunes_files(spark, capsys):
+def test_other_versions_are_not_read(spark):
     table = SnapshotTable(spark, new_dir(spark, "t"))
     for _ in range(3):
         table.overwrite(spark.range(10))
-    table.read(1).explain("formatted")
-    assert "PartitionFilters: [isnotnull(_version" in capsys.readouterr().out
+    files_read = table.read(1).inputFiles()
+    assert files_read and all("_version=1/" in f for f in files_read)
 
 
 def test_compare(spark):
