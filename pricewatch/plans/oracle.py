@@ -258,7 +258,7 @@ FAULTY = """faulty AS (SELECT CAST(event_id AS VARCHAR) AS message_id,
     CASE WHEN user_id = 7 THEN 'coffee' ELSE event_type END AS commodity,
     CASE user_id WHEN 5 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN 'NaN' WHEN 3 THEN 'Infinity' WHEN 4 THEN '-5'
       WHEN 6 THEN '1000000.01' WHEN 9 THEN '0' WHEN 10 THEN '-Infinity' ELSE CAST(value AS VARCHAR) END AS price_text,
-    CASE WHEN user_id <> 8 THEN 'kg' END AS unit FROM events), v AS (SELECT *, TRY_CAST(price_text AS DOUBLE) AS p FROM faulty)"""
+    CASE WHEN user_id <> 8 THEN 'kg' END AS unit, ts FROM events), v AS (SELECT *, TRY_CAST(price_text AS DOUBLE) AS p FROM faulty)"""
 REASON = f"""CASE WHEN commodity IS NULL OR price_text IS NULL OR unit IS NULL THEN 'missing_field'
     WHEN p IS NULL THEN 'not_numeric' WHEN p <= 0 THEN 'not_positive' WHEN NOT isnan(p) AND p > 1000000 THEN 'too_high'
     WHEN isnan(p) THEN 'nan' WHEN commodity NOT IN ({', '.join(f"'{k}'" for k in KEYWORDS)}) THEN 'unknown_commodity' END"""
@@ -472,6 +472,8 @@ SQL["fill_standardise"] = f"""WITH {MIXED} SELECT message_id, link, upper(source
   coalesce(title, '') AS title, coalesce(price, 0.0) AS price, 'kg' AS unit FROM mixed"""
 
 SQL["stream_land"] = f"WITH {MIXED} SELECT topic, commodity, count(*) AS n FROM mixed GROUP BY ALL"
+SQL["stream_publish"] = f"""WITH {FAULTY} SELECT commodity AS key, substr(md5(commodity || strftime(ts, {ISO})), 1, 12) AS message_id,
+  p AS price, strftime(ts, {ISO}) AS ts_iso FROM v WHERE {REASON} IS NULL"""
 SQL["stream_ingest"] = f"WITH {MIXED} SELECT topic, 'landed' AS _source, count(*) AS n FROM mixed GROUP BY ALL"
 SQL["stream_fanout"] = f"""WITH {MIXED}, r AS (SELECT *, row_number() OVER (PARTITION BY topic
       ORDER BY arrived DESC, message_id, link, title) AS r FROM mixed)

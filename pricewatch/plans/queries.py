@@ -232,6 +232,7 @@ def _faulty(spark: SparkSession, sf: str) -> DataFrame:
         F.when(user == 7, F.lit("coffee")).otherwise(F.col("event_type")).alias("commodity"),
         price.otherwise(F.col("value").cast("string")).alias("price_text"),
         F.when(user != 8, F.lit("kg")).alias("unit"),
+        F.col("ts").alias("event_time"),
     )
 
 
@@ -714,6 +715,20 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     return landed.groupBy("topic", "commodity").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def stream_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records validated, completed and published as keyed messages, from a stream."""
+    path, out = new_dir(spark, "stream-raw"), new_dir(spark, "stream-published")
+    _faulty(spark, sf).write.parquet(path)
+    schema = "message_id string, commodity string, price_text string, unit string, event_time timestamp_ntz"
+    valid = jobs.validated(spark.readStream.schema(schema).parquet(path), [*A.KEYWORDS], "price_text")
+    records = valid.withColumn("price", F.col("price_text").try_cast("double")).drop("message_id")
+    messages = publish.keyed_prices(enrich.price_envelope(records, F.col("event_time")))
+    runner.drain(messages.writeStream.format("parquet").option("path", out), f"{out}-checkpoint")
+    message = F.from_json("value", "message_id string, price double, ts_iso string")
+    return spark.read.schema("key string, value string").parquet(out).select("key", message.alias("m")).select("key", "m.*")
+
+
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Landed files appended to the raw table once, although the job runs twice."""

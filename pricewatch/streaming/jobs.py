@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from pricewatch import dims
 from pricewatch.functions import text
+from pricewatch.operators import clean
 from pricewatch.operators.alerts import ALERT_COLUMNS, classify_changes, with_previous
 from pricewatch.operators.enrich import add_provenance
 from pricewatch.operators.slices import newest_per_key
@@ -27,6 +28,14 @@ def land(stream: DataFrame, path: str) -> DataStreamWriter:
     return counted.writeStream.format("json").option("path", path).partitionBy("topic")
 
 
+def validated(stream: DataFrame, known: list[str], raw_price: str = "price") -> DataFrame:
+    """Valid price records of a stream or table; sent and dropped rows are counted as ``validation``."""
+    tagged = clean.validate_prices(stream, known, raw_price)
+    bad = F.col("reject_reason").isNotNull()
+    counted = tagged.observe("validation", F.count_if(~bad).alias("sent"), F.count_if(bad).alias("dropped"))
+    return counted.filter(~bad).drop("reject_reason")
+
+
 def ingest(stream: DataFrame, table: SnapshotTable, source: str) -> DataStreamWriter:
     """Append every batch of landed files to the raw table with its provenance."""
 

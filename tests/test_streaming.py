@@ -135,3 +135,16 @@ def test_trend_over_batches_equals_batch(spark):
     want = ticks.groupBy("commodity", F.date_trunc("hour", "event_time").alias("h")).agg(F.count("price").alias("n"))
     want = want.filter(F.col("h") + F.expr("interval 1 hour") <= F.lit(last))
     assert rows_of(got.select("commodity", "hour_start", "n_obs")) == rows_of(want)
+
+
+def test_validation_counts_are_observed(spark):
+    root = new_dir(spark, "valid")
+    rows = [("beras", "5000", "kg"), ("beras", "0", "kg"), ("kopi", "5", "kg")]
+    spark.createDataFrame(rows, "commodity string, price string, unit string").coalesce(1).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("commodity string, price string, unit string").parquet(f"{root}/in")
+    writer = jobs.validated(stream, ["beras"]).writeStream.format("parquet").option("path", f"{root}/out")
+    query = runner.start(writer, f"{root}/checkpoint", every=None)
+    query.awaitTermination()
+    seen = [p.observedMetrics["validation"] for p in query.recentProgress if "validation" in p.observedMetrics]
+    assert (sum(r.sent for r in seen), sum(r.dropped for r in seen)) == (1, 2)
+    assert spark.read.parquet(f"{root}/out").count() == 1
