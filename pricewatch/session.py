@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,17 +28,8 @@ def build_session(app: str = "pricewatch", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of its own.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="pricewatch-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the SQL warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
