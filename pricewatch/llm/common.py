@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,17 +44,26 @@ def partitions(spark: SparkSession, rows: int, rows_each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_each))
 
 
+def names(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def pick_rows(docs: DataFrame, id_col: str, key: Column, keepers: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``keepers`` (keep_id, key, keep_rows) name by id and content key, one of each.
+
+    Rows that repeat both the id and the content are one document: where ``keep_rows`` is over 1, one of them is taken.
+    """
+    doc_key, doc_id, keep_key, keep_id = (fresh(c, docs) for c in ("_key", "_id", "_keep_key", "_keep_id"))
+    keyed = docs.withColumns({doc_id: F.col(f"`{id_col}`").cast("long"), doc_key: key})
+
+    def of(some: Column) -> DataFrame:
+        side = keepers.filter(some).select(F.col("keep_id").alias(keep_id), F.col("key").alias(keep_key))
+        return keyed.join(side, (F.col(doc_key) == F.col(keep_key)) & F.col(doc_id).eqNullSafe(F.col(keep_id)), "left_semi")
+
+    repeated = of(F.col("keep_rows") > 1).dropDuplicates([doc_key, doc_id])
+    return of(F.col("keep_rows") == 1).unionByName(repeated).select(*names(docs))
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; null ids fall into fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
-
-
-def chunked(rows: Iterable, size: int) -> Iterable[list]:
-    part: list = []
-    for row in rows:
-        part.append(row)
-        if len(part) >= size:
-            yield part
-            part = []
-    if part:
-        yield part

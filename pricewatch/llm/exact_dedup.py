@@ -13,10 +13,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewatch.llm.common import ascii_lower, fresh, partitions, stored
+from pricewatch.llm.common import ascii_lower, partitions, pick_rows, stored
 
 #: Digests one partition holds at most, on average (about 300 bytes each in the worker).
 KEYS_PER_PARTITION = 250_000
@@ -158,12 +158,14 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(entries[at : at + 10_000])
 
 
+def digest_of(text_col: str) -> Column:
+    """SHA-256 of the normalised text."""
+    return F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256))
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, digest) of every row: SHA-256 of the normalised text."""
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)).alias("digest"),
-    )
+    """(doc_id, digest) of every row."""
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), digest_of(text_col).alias("digest"))
 
 
 def update_index(rows: DataFrame, index: DataFrame | None = None, deleted: DataFrame | None = None) -> DataFrame:
@@ -193,13 +195,4 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the row of the largest id of each group of equal texts, all columns as they were."""
     index = stored(update_index(stored(digests(docs, id_col, text_col), "digests")), "digest-index")
-    digest, key, keep, n = (fresh(c, docs) for c in ("_digest", "_id", "_keep_id", "_keep_rows"))
-    keyed = docs.withColumns({key: F.col(id_col).cast("long"), digest: F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256))})
-    keepers = index.select(F.col("digest").alias(digest), F.col("keep_id").alias(keep), F.col("keep_rows").alias(n))
-
-    def of(side: DataFrame) -> DataFrame:
-        return keyed.join(side.drop(n).withColumnRenamed(digest, digest + "k"), (F.col(digest) == F.col(digest + "k")) & F.col(key).eqNullSafe(F.col(keep)), "left_semi")
-
-    single = of(keepers.filter(F.col(n) == 1))
-    repeated = of(keepers.filter(F.col(n) > 1)).dropDuplicates([digest, key])
-    return single.unionByName(repeated).select(*docs.columns)
+    return pick_rows(docs, id_col, digest_of(text_col), index.withColumnRenamed("digest", "key"))

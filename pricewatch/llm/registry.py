@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import decontaminate, exact_dedup, packing, warc_zip
+from pricewatch.llm import decontaminate, exact_dedup, lines, packing, simhash, warc_zip
 from pricewatch.llm.common import table
 
 
@@ -39,7 +39,19 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination)}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of each document."""
+    out = simhash.decide(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every unit of text that an earlier document, or the same one before, has."""
+    out = lines.repeats(table(spark, sf_dir, "documents"))
+    return out.withColumn("digest", F.lower(F.hex("digest")))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op7_simhash, op8_line_dedup)}
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": """
