@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import decontaminate, exact_dedup, lines, packing, simhash, warc_zip
-from pricewatch.llm.common import table
+from pricewatch.llm import decontaminate, exact_dedup, lines, packing, simhash, toxicity, urls, warc_zip
+from pricewatch.llm.common import fold, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,22 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("digest", F.lower(F.hex("digest")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op7_simhash, op8_line_dedup)}
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels")))
+    out = toxicity.score(docs, model, into="score", keep=["doc_id"])
+    held_out = fold(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"))
+
+
+def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of each page's URL by rule or by path template."""
+    out = urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return out.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op6_toxicity, op7_simhash, op8_line_dedup, op10_url_templates)}
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": """
