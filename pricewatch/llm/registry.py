@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import decontaminate, exact_dedup, lines, packing, simhash, toxicity, urls, warc_zip
+from pricewatch.llm import decontaminate, exact_dedup, lines, packing, quality, simhash, toxicity, urls, warc_zip
 from pricewatch.llm.common import fold, table
 
 
@@ -60,13 +61,22 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.ACCEPT).cast("int").alias("predicted"))
 
 
+def op9_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document from its text and its site."""
+    out = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    held_out = fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT
+    return out.withColumn("held_out", held_out).withColumn("keep", F.col("score") >= quality.KEEP)
+
+
 def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of each page's URL by rule or by path template."""
     out = urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
     return out.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op6_toxicity, op7_simhash, op8_line_dedup, op10_url_templates)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op6_toxicity, op7_simhash, op8_line_dedup, op9_quality_bayes, op10_url_templates)}
+
+QUERIES["pipeline"] = corpus_pipeline.run
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": """

@@ -32,12 +32,15 @@ FIT_BYTES = 16_000_000
 #: Folds of the documents; rows of fold HELD_OUT are never learned from.
 FOLDS, HELD_OUT = 3, 1
 ACCEPT = 0.7
-ORDINARY_BYTES, TOXIC_BYTES = 100_000, 6_000
+ORDINARY_BYTES, TOXIC_BYTES = 100_000, 16_000
 LEVEL = 3
 #: A window's log ratio counts from here on; less is noise.
-LEAST_EVIDENCE = 1.5
+LEAST_EVIDENCE = 2.5
 #: Over-used words: contexts at least, G-test value at least, and times the ordinary rate.
-LEAST_CONTEXTS, LEAST_G, LEAST_LIFT = 3, 15.0, 8.0
+LEAST_CONTEXTS, LEAST_G, LEAST_LIFT = 5, 20.0, 8.0
+LEAST_STEM = 4
+#: Ordinary windows that every pair of lengths is taken to have had besides those seen.
+PRIOR_WINDOWS = 3.0
 #: Windows a worker remembers.
 CACHE_WINDOWS = 400_000
 
@@ -93,25 +96,32 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, x))))
 
 
+def _stems(word: bytes) -> list[bytes]:
+    """The word, and its beginnings of four bytes and more (marked by a star)."""
+    return [word, *(word[:n] + b"*" for n in range(LEAST_STEM, min(len(word), 10) + 1))]
+
+
 def _contexts(texts: list[bytes]) -> Counter:
-    """Distinct left neighbours of each word: copies of a text add nothing."""
+    """Distinct left neighbours of each word and stem: copies of a text add nothing."""
     pairs: set[tuple[bytes, bytes]] = set()
     for text in texts:
         found = text.translate(_FOLD).split()
         pairs.update(zip([b"", *found], found, strict=False))
-    return Counter(b for _, b in pairs)
+    return Counter(stem for _, b in pairs for stem in _stems(b))
 
 
 def overused(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
-    """Words whose contexts are significantly more in the toxic texts."""
+    """Words and stems whose contexts are significantly more in the toxic texts."""
     a, b = _contexts(toxic), _contexts(ordinary)
     na, nb = sum(a.values()) or 1, sum(b.values()) or 1
     out = set()
     for word, k in a.items():
+        if k < LEAST_CONTEXTS:
+            continue
         m = b[word]
         e, f = (k + m) * na / (na + nb), (k + m) * nb / (na + nb)
         g = 2 * (k * math.log(k / e) + (m * math.log(m / f) if m else 0.0))
-        if k >= LEAST_CONTEXTS and g >= LEAST_G and k * nb >= LEAST_LIFT * na * (m + 0.5):
+        if g >= LEAST_G and k * nb >= LEAST_LIFT * na * (m + 0.5):
             out.add(word)
     return out
 
@@ -125,27 +135,28 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 def fit(rows: list[tuple[bytes, int]]) -> Model:
-    """A model of (text, label) rows: two thirds make the dictionaries, the ratios and the threshold come from all."""
+    """A model of (text, label) rows: two thirds make the dictionaries and ratios, the threshold comes from the others."""
     toxic, ordinary = ([t for t, label in rows if label == k] for k in (1, 0))
     if not toxic or not ordinary:
         return Model().open()
-    words = overused(toxic[: -(-2 * len(toxic) // 3)], ordinary[: -(-2 * len(ordinary) // 3)])
+    learned = [(t, k) for k, own in ((1, toxic), (0, ordinary)) for t in own[: -(-2 * len(own) // 3)]]
+    words = overused(*([t for t, label in learned if label == k] for k in (1, 0)))
     samples = [b" ".join(w[i : i + 32]) for t in ordinary for w in [t.lower().split()] for i in range(0, len(w), 32)]
-    speech = [b" " + b" ".join(w for w in t.translate(_FOLD).split() if w in words) + b" " for t in toxic]
+    speech = [b" " + b" ".join(w for w in t.translate(_FOLD).split() if words.intersection(_stems(w))) + b" " for t in toxic]
     plain = _dictionary(samples, ORDINARY_BYTES)
     frame = plain[-64:-24], plain[-24:]
     model = Model(plain, _dictionary([s for s in speech if s.strip()], TOXIC_BYTES) + frame[0] + frame[1], frame).open()
     counts = Counter(), Counter()
     seen: dict[bytes, tuple[int, int, int]] = {}
-    for text, label in rows:
+    for text, label in learned:
         for w in windows(text):
             if w not in seen:
                 seen[w] = model.lengths(w)
             counts[label][seen[w]] += 1
     totals = [sum(c.values()) or 1 for c in counts]
     for key, k in counts[1].items():
-        model.ratios[key] = math.log((k / totals[1] + 1e-5) / (counts[0][key] / totals[0] + 1e-5))
-    return _calibrate(model, rows)
+        model.ratios[key] = math.log((k + 0.5) / totals[1] * totals[0] / (counts[0][key] + PRIOR_WINDOWS))
+    return _calibrate(model, [r for k, own in ((1, toxic), (0, ordinary)) for r in zip(own[-(-2 * len(own) // 3) :] or own, [k] * len(own), strict=False)])
 
 
 def _calibrate(model: Model, rows: list[tuple[bytes, int]]) -> Model:
