@@ -222,10 +222,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one document of each component, the one of the smallest id (nulls last)."""
     rows = stored(decide(docs, id_col, text_col), "simhash-decisions")
     rank = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
-    first = rows.groupBy("root").agg(F.min(rank).alias("rank"))
-    stored_first = stored(first, "first-ids")
-    mine = rows.withColumn("rank", rank).join(stored_first.withColumnRenamed("root", "r"), (F.col("root") == F.col("r")) & (F.col("rank") == stored_first["rank"]))
+    first = stored(rows.groupBy(F.col("root").alias("r")).agg(F.min(rank).alias("first")), "first-ids")
+    mine = rows.join(first, F.col("root") == F.col("r")).filter(rank == F.col("first"))
     keyed = stored(mine.groupBy("root", "doc_id", "key").agg(F.count(F.lit(1)).alias("keep_rows")), "first-rows")
-    one = keyed.groupBy("root").agg(F.min("key").alias("key"))
-    keepers = keyed.join(one, ["root", "key"]).select(F.col("doc_id").alias("keep_id"), "key", "keep_rows")
+    one = keyed.groupBy(F.col("root").alias("r")).agg(F.min("key").alias("k"))
+    keepers = keyed.join(one, (F.col("root") == F.col("r")) & (F.col("key") == F.col("k"))).select(F.col("doc_id").alias("keep_id"), "key", "keep_rows")
     return pick_rows(docs, id_col, F.xxhash64(f"`{text_col}`"), keepers)
