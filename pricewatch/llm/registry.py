@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import decontaminate, exact_dedup, lines, packing, quality, simhash, toxicity, urls, warc_zip
+from pricewatch.llm import attention_lm, decontaminate, exact_dedup, lines, packing, quality, simhash, toxicity, urls, warc_zip
 from pricewatch.llm.common import fold, table
 
 
@@ -52,6 +52,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("digest", F.lower(F.hex("digest")))
 
 
+def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of each document under the attention model, and its unigram base."""
+    return attention_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of each document."""
     docs = table(spark, sf_dir, "documents")
@@ -74,7 +79,7 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op6_toxicity, op7_simhash, op8_line_dedup, op9_quality_bayes, op10_url_templates)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op5_attention_lm, op6_toxicity, op7_simhash, op8_line_dedup, op9_quality_bayes, op10_url_templates)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
