@@ -140,8 +140,8 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
 
 def _cut(min_words: int):
     def run(text: str | None, spans) -> tuple[str | None, list[tuple[int, int]]]:
-        if text is None:
-            return None, []
+        if text is None or not spans:
+            return text, []
         own = {(a, b, digest) for digest, _, a, b, _ in units(text.encode(), min_words)}
         gone = sorted((s["start"], s["stop"]) for s in spans if (s["start"], s["stop"], bytes(s["digest"])) in own)
         out, at = [], 0
