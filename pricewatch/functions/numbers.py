@@ -14,6 +14,13 @@ def finite(c: Column) -> Column:
     return F.when(~bad, c)
 
 
+def parsed(c: Column) -> Column:
+    """Text or number as a double; null unless the text is a plain decimal, NaN or infinity. (A cast
+    alone also takes type suffixes such as ``5d``.)"""
+    plain = r"(?i)^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|nan|[+-]?inf(inity)?)\s*$"
+    return F.when(c.cast("string").rlike(plain), c.try_cast("double"))
+
+
 def nan_as(c: Column, policy: str) -> Column:
     """NaN prices: ``zero`` counts them as 0.0, ``null`` leaves them out of every aggregate."""
     if policy not in ("zero", "null"):
@@ -23,7 +30,7 @@ def nan_as(c: Column, policy: str) -> Column:
 
 def safe_float(c: Column) -> Column:
     """Two decimals; null, unparsable, NaN and infinite values become 0.0."""
-    return F.coalesce(F.round(finite(c.try_cast("double")), 2), F.lit(0.0))
+    return F.coalesce(F.round(finite(parsed(c)), 2), F.lit(0.0))
 
 
 def safe_int(c: Column) -> Column:

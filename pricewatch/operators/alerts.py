@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewatch import dims
@@ -13,17 +13,12 @@ from pricewatch.operators.slices import sliced_window
 ORDER = ["event_time", "message_id"]
 
 
-def _hour() -> Column:
-    """Bucket of the sliced windows."""
-    return F.date_trunc("hour", F.col("event_time"))
-
-
 def with_previous(prices: DataFrame, keep: tuple[str, ...] = ("hour",), **limits: int) -> DataFrame:
-    """Add ``prev_price``, equal times being ordered by message id. ``limits`` are those of the
-    sliced window: ``max_rows`` per bucket, number of ``slices``."""
+    """Add ``prev_price``, equal times being ordered by message id. ``limits``: the sliced window's
+    number of ``slices``."""
     rows = priced(prices, "event_time").select("commodity", *ORDER, "price", *keep)
     exprs = {"prev_price": lambda w: F.lag("price", 1).over(w)}
-    return sliced_window(rows, ["commodity"], ORDER, 1, exprs, _hour(), **limits)
+    return sliced_window(rows, ["commodity"], ORDER, 1, exprs, **limits)
 
 
 def classify_changes(df: DataFrame, threshold: float = dims.ALERT_PCT) -> DataFrame:
@@ -84,7 +79,7 @@ def alert_last3(prices: DataFrame, threshold: float = dims.ALERT_PCT, **limits:
     """Rise above the lowest of the last three observations."""
     rows = priced(prices, "event_time").select("commodity", *ORDER, "price")
     exprs = {"low3": lambda w: F.min("price").over(w.rowsBetween(-3, -1))}
-    low = sliced_window(rows, ["commodity"], ORDER, 3, exprs, _hour(), **limits)
+    low = sliced_window(rows, ["commodity"], ORDER, 3, exprs, **limits)
     return low.withColumn("rise_pct", numbers.change_pct(F.col("price"), F.col("low3"))).filter(
         F.col("rise_pct") > threshold
     )
@@ -94,4 +89,4 @@ def rolling_mean(prices: DataFrame, back: int = 2, **limits: int) -> DataFrame:
     """Mean of the current and the ``back`` previous observations."""
     rows = priced(prices, "event_time").select("commodity", *ORDER, "price")
     exprs = {"rolling_avg": lambda w: F.round(F.avg("price").over(w.rowsBetween(-back, 0)), 2)}
-    return sliced_window(rows, ["commodity"], ORDER, back, exprs, _hour(), **limits)
+    return sliced_window(rows, ["commodity"], ORDER, back, exprs, **limits)

@@ -31,16 +31,18 @@ class Settings:
 
 
 def priced(df: DataFrame, time_column: str | None = None) -> DataFrame:
-    """Rows usable by the aggregates: a positive price and, if named, a known time."""
-    keep = F.col("price").isNotNull() & (F.col("price") > 0)
+    """Rows usable by the aggregates: a positive finite price and, if named, a known time. (NaN counts
+    as larger than any number, so the upper bound takes it out too.)"""
+    keep = F.col("price").isNotNull() & (F.col("price") > 0) & (F.col("price") < float("inf"))
     if time_column:
         keep &= F.col(time_column).isNotNull()
     return df.filter(keep)
 
 
-def split_by_topic(df: DataFrame, topic: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the topic and rows of other topics; rows without a topic are in neither."""
-    return df.filter(F.col("topic") == topic), df.filter(F.col("topic") != topic)
+def split_by_topic(df: DataFrame, topic: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of the topic, rows of other topics, and rows without a topic."""
+    here = F.col("topic")
+    return df.filter(here == topic), df.filter(here != topic), df.filter(here.isNull())
 
 
 def price_in_range(price: Column, low: float = dims.PRICE_MIN, high: float = dims.PRICE_MAX) -> Column:
@@ -134,7 +136,8 @@ def accounting(table: str, raw: DataFrame, tagged: DataFrame, rules: list[tuple[
     """
     order = ["duplicate"] + [name for name, _ in rules]
     names = ["n_raw", "n_unique"] + [f"n_{name}" for name, _ in rules]
-    total = raw.agg(F.count(F.lit(1)).alias("n_raw"))
+    # The sum over a data column lets a JSON reader count without its corrupt-record column alone.
+    total = raw.agg((F.count(raw.columns[0]) + F.count_if(F.col(raw.columns[0]).isNull())).alias("n_raw"))
     reasons = tagged.agg(
         F.count(F.lit(1)).alias("n_unique"),
         *[F.count_if(F.col("reject_reason") == name).alias(f"n_{name}") for name, _ in rules],
@@ -192,7 +195,7 @@ def validate_prices(df: DataFrame, known: list[str], raw_price: str = "price") -
     Tests in order: required fields, numeric, positive, upper bound, NaN, known commodity.
     """
     raw = F.col(raw_price)
-    value = raw.try_cast("double")
+    value = numbers.parsed(raw)
     tests = [
         ("missing_field", F.col("commodity").isNull() | raw.isNull() | F.col("unit").isNull()),
         ("not_numeric", value.isNull()),

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from pricewatch import dims
 from pricewatch.functions import numbers, text, times
-from pricewatch.session import broadcast_if_small
 
-SUMMARY_CHARS = 500  # stored length of a summary in a news message; tagging reads the whole text
+SUMMARY_CHARS = 500  # length of a summary in the wire format of a news message; tagging reads the whole text
 
 
 def add_provenance(df: DataFrame, source: str) -> DataFrame:
@@ -26,8 +25,8 @@ def add_audit(df: DataFrame, column: str = "_cleaned_at", batch_time: str | None
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str = "commodity") -> DataFrame:
-    """Left lookup in a dimension; it is broadcast only if its counted size allows."""
-    return df.join(broadcast_if_small(dim), key, "left")
+    """Left lookup in a dimension; Spark broadcasts it if its measured bytes allow."""
+    return df.join(dim, key, "left")
 
 
 def normalise_name(name: Column, synonyms: Mapping[str, str] = dims.SYNONYMS) -> Column:
@@ -121,10 +120,12 @@ def news_envelope(
     topic: str = "news",
     keywords: Mapping[str, Sequence[str]] = dims.NEWS_KEYWORDS,
     default: str = dims.GENERAL,
+    summary_chars: int | None = SUMMARY_CHARS,
 ) -> DataFrame:
     """News message from a feed entry (title, link, summary, published, updated, source_feed).
 
-    The commodity is found in the whole title and summary; only the stored summary is shortened.
+    The commodity is found in the whole title and summary. ``summary_chars`` is the wire format's
+    limit on the summary; None sends it whole. Raw tables fed without messages hold whole texts.
     """
     clean = df.select(
         text.strip_space(F.coalesce("title", F.lit(""))).alias("title"),
@@ -140,7 +141,7 @@ def news_envelope(
     return tagged.select(
         "title",
         "link",
-        F.substring("body", 1, SUMMARY_CHARS).alias("summary"),
+        (F.col("body") if summary_chars is None else F.substring("body", 1, summary_chars)).alias("summary"),
         "published",
         "source_feed",
         "commodity",
@@ -155,8 +156,8 @@ def price_list_records(raw: DataFrame, today: Column, source_name: str) -> DataF
     positive are skipped."""
     item = raw.select(F.explode("data").alias("i"))
     price = F.coalesce(
-        F.when(F.col("i.harga_rata").isNotNull(), F.col("i.harga_rata").try_cast("double"))
-        .otherwise(F.col("i.harga").try_cast("double")),
+        F.when(F.col("i.harga_rata").isNotNull(), numbers.parsed(F.col("i.harga_rata")))
+        .otherwise(numbers.parsed(F.col("i.harga"))),
         F.lit(0.0),
     )
     rows = item.select(
@@ -219,7 +220,7 @@ def priority_fill(sources: Sequence[DataFrame], key: str = "commodity") -> DataF
     ranked = [s.withColumn("_priority", F.lit(i)) for i, s in enumerate(sources)]
     rows = reduce(DataFrame.unionByName, ranked)
     best = rows.groupBy(key).agg(F.min("_priority").alias("_best"))
-    picked = rows.join(broadcast_if_small(best), key)
+    picked = rows.join(best, key)
     return picked.filter(F.col("_priority") == F.col("_best")).drop("_priority", "_best")
 
 

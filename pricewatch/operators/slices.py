@@ -13,22 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from pricewatch.session import cut_lineage
+from pricewatch.session import stored
 
-#: Most rows of one key and bucket that may meet in a task.
-SLICE_ROWS = 5_000_000
 
-
-def _slices(
-    df: DataFrame, keys: list[str], order_by: list[str], bucket: Column | None, slices: int | None, max_rows: int
-) -> DataFrame:
-    """Add ``_slice``. The bucket is used if the largest one, which is counted first, is small
-    enough: it needs no shuffle of its own. Otherwise the rows are range-partitioned on key and
-    order, which splits keys, buckets and even single instants of any size evenly."""
-    if bucket is not None:
-        sizes = df.groupBy(*keys, bucket.alias("_slice")).agg(F.count(F.lit(1)).alias("n"))
-        if (sizes.agg(F.max("n")).first()[0] or 0) <= max_rows:
-            return df.withColumn("_slice", bucket)
+def _slices(df: DataFrame, keys: list[str], order_by: list[str], slices: int | None) -> DataFrame:
+    """Add ``_slice``: rows range-partitioned on key and order, which splits keys and even single
+    instants of any size evenly."""
     ranged = [F.col(c) for c in keys + order_by]
     df = df.repartitionByRange(slices, *ranged) if slices else df.repartitionByRange(*ranged)
     return df.withColumn("_slice", F.spark_partition_id())
@@ -40,24 +30,22 @@ def sliced_window(
     order_by: list[str],
     depth: int,
     exprs: dict[str, Callable[[WindowSpec], Column]],
-    bucket: Column | None = None,
     slices: int | None = None,
-    max_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add window columns that look back at most ``depth`` rows; equal to the plain window.
 
-    ``order_by`` must order the rows of a key completely (end it with a message id) and
-    ``bucket`` must grow with it, such as the hour of the time. The sliced result is written
-    once to the checkpoint folder, since two steps read it and must see the same slices.
+    ``order_by`` must order the rows of a key completely (end it with a message id). The sliced
+    result is written once as Parquet, since two steps read it and must see the same slices.
     """
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
-    marked = cut_lineage(
-        _slices(df, keys, order_by, bucket, slices, max_rows).select(
+    marked = stored(
+        _slices(df, keys, order_by, slices).select(
             *df.columns,
             *[make(inside).alias(name) for name, make in exprs.items()],
             F.row_number().over(inside).alias("_n"),
             F.lead(F.lit(1), depth).over(inside).isNull().alias("_tail"),
-        )
+        ),
+        "slices",
     )
     # Rows with a full look-back inside their slice are done.
     done = marked.filter(F.col("_n") > depth).drop("_n", "_tail")
@@ -69,12 +57,14 @@ def sliced_window(
     return done.unionByName(starts.filter(F.col("_n") <= depth).drop("_n"))
 
 
-def newest_per_key(df: DataFrame, keys: list[str], order_by: list[Column], n: int, salts: int = 64) -> DataFrame:
+def newest_per_key(df: DataFrame, keys: list[str], order_by: list[Column], n: int, salts: int | None = None) -> DataFrame:
     """Newest ``n`` rows of each key with their ``rank`` (1 = newest).
 
     The first ranking works on salted keys, so the candidates of a hot key are cut down in
-    parallel; the second sees at most ``salts * n`` rows of a key.
+    parallel; the second sees at most ``salts * n`` rows of a key. There are as many salts as
+    shuffle partitions unless told otherwise.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = Window.partitionBy(*keys, "_salt").orderBy(*order_by)
     final = Window.partitionBy(*keys).orderBy(*order_by)
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pricewatch.functions import classes, numbers, times
 from pricewatch.operators.clean import priced
-from pricewatch.session import broadcast_if_small
+from pricewatch.session import stored
 
 
 def zscore_anomaly(prices: DataFrame, limit: float = 3.0) -> DataFrame:
@@ -16,7 +16,7 @@ def zscore_anomaly(prices: DataFrame, limit: float = 3.0) -> DataFrame:
     stats = rows.groupBy("commodity").agg(F.avg("price").alias("mean"), F.stddev("price").alias("dev"))
     z = F.round(F.try_divide(F.col("price") - F.col("mean"), F.col("dev")), 3)
     return (
-        rows.join(broadcast_if_small(stats), "commodity")
+        rows.join(stats, "commodity")
         .withColumn("zscore", z)
         .filter(F.abs("zscore") > limit)
         .drop("mean", "dev")
@@ -55,17 +55,25 @@ def trend_slope(prices: DataFrame, origin: str = "2024-01-01 00:00:00") -> DataF
     )
 
 
-def trend_clusters(prices: DataFrame, k: int = 2, seed: int = 7) -> DataFrame:
-    """K-means over (mean, cv index) of commodity-days; cluster numbers follow the mean price."""
+def trend_clusters(
+    prices: DataFrame, k: int = 2, tries: int = 5, features: tuple[str, ...] = ("mean_price", "cv_index")
+) -> DataFrame:
+    """K-means over commodity-days by ``features``; cluster numbers follow the first of them.
+
+    A start can end in a local optimum, so the cheapest of several seeded ``tries`` is taken.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
     points = weekly_volatility(prices, "day").select("commodity", "period", "mean_price", "cv_index")
-    features = VectorAssembler(inputCols=["mean_price", "cv_index"], outputCol="features").transform(points)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(features)
+    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(points)
+    points = stored(points, "cluster-points")
+    means = KMeans(k=k, maxIter=100, tol=0.0, featuresCol="features", predictionCol="cluster")
+    fits = [means.copy({means.seed: seed}).fit(points) for seed in range(1, tries + 1)]
+    model = min(fits, key=lambda m: m.summary.trainingCost)
     order = sorted(range(k), key=lambda i: tuple(model.clusterCenters()[i]))
     renumber = F.array(*[F.lit(order.index(i)) for i in range(k)])
-    out = model.transform(features).drop("features")
+    out = model.transform(points).drop("features")
     return out.withColumn("cluster", F.element_at(renumber, F.col("cluster") + 1))
 
 

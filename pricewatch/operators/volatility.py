@@ -60,30 +60,32 @@ def range_volatility(prices: DataFrame, nan_policy: str = "null") -> DataFrame:
 
 
 def trend_summary(prices: DataFrame) -> DataFrame:
-    """Lifetime price summary per (commodity, label), written as SQL over a view of ``prices``.
+    """Lifetime price summary per (commodity, label), from one row per commodity, label and day.
 
     ``range_pct`` and ``is_high`` are the two remarks of the report.
     """
-    summary = prices.sparkSession.sql(
-        """
-        SELECT commodity, label,
-               round(avg(price), 2) AS avg_price,
-               round(min(price), 2) AS min_price,
-               round(max(price), 2) AS max_price,
-               count(DISTINCT day)  AS n_days,
-               count(*)             AS n_obs
-        FROM {prices}
-        WHERE commodity IS NOT NULL
-        GROUP BY commodity, label
-        """,
-        prices=prices,
+    rows, high, low = F.col("rows"), F.max("high"), F.min("low")
+    days = (
+        prices.filter(F.col("commodity").isNotNull())
+        .groupBy("commodity", "label", "day")
+        .agg(
+            F.sum("price").alias("total"),
+            F.count("price").alias("priced"),
+            F.count(F.lit(1)).alias("rows"),
+            F.max("price").alias("high"),
+            F.min("price").alias("low"),
+        )
     )
-    return summary.withColumns(
-        {
-            "range_pct": F.round(numbers.range_pct(F.col("min_price"), F.col("max_price")), 1),
-            "is_high": classes.high_price(F.col("avg_price")),
-        }
+    summary = days.groupBy("commodity", "label").agg(
+        F.sum(rows).alias("n_obs"),
+        F.count("day").alias("n_days"),
+        F.round(high, 2).alias("max_price"),
+        F.round(low, 2).alias("min_price"),
+        F.round(F.try_divide(F.sum("total"), F.sum("priced")), 2).alias("avg_price"),
     )
+    spread = numbers.range_pct(F.col("min_price"), F.col("max_price"))
+    remarks = F.round(spread, 1).alias("range_pct"), classes.high_price(F.col("avg_price")).alias("is_high")
+    return summary.select("commodity", "label", "avg_price", "min_price", "max_price", "n_days", "n_obs", *remarks)
 
 
 def trend_periodic(prices: DataFrame) -> DataFrame:

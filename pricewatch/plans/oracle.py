@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pricewatch.functions.text import OUTSIDE, SPACES
+from pricewatch.schemas import MIXED_COLUMNS
 from pricewatch.sources.adapters import EPOCH, KEYWORDS, MENTIONS, VALID
 
 SQL: dict[str, str] = {}
@@ -257,7 +258,7 @@ SQL["clean_summary"] = f"""WITH {MIXED}, {D_PRICES}, {D_NEWS}, steps AS ({ACCOUN
 FAULTY = """faulty AS (SELECT CAST(event_id AS VARCHAR) AS message_id,
     CASE WHEN user_id = 7 THEN 'coffee' ELSE event_type END AS commodity,
     CASE user_id WHEN 5 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN 'NaN' WHEN 3 THEN 'Infinity' WHEN 4 THEN '-5'
-      WHEN 6 THEN '1000000.01' WHEN 9 THEN '0' WHEN 10 THEN '-Infinity' ELSE CAST(value AS VARCHAR) END AS price_text,
+      WHEN 6 THEN '1000000.01' WHEN 9 THEN '0' WHEN 10 THEN '-Infinity' WHEN 11 THEN '5d' ELSE CAST(value AS VARCHAR) END AS price_text,
     CASE WHEN user_id <> 8 THEN 'kg' END AS unit, ts FROM events), v AS (SELECT *, TRY_CAST(price_text AS DOUBLE) AS p FROM faulty)"""
 REASON = f"""CASE WHEN commodity IS NULL OR price_text IS NULL OR unit IS NULL THEN 'missing_field'
     WHEN p IS NULL THEN 'not_numeric' WHEN p <= 0 THEN 'not_positive' WHEN NOT isnan(p) AND p > 1000000 THEN 'too_high'
@@ -269,7 +270,10 @@ SQL["safe_numbers"] = f"""WITH {FAULTY} SELECT message_id,
     CASE WHEN regexp_matches(price_text, '^-?[0-9]+$') THEN CAST(price_text AS BIGINT) ELSE 0 END AS as_int,
     CASE WHEN isnan(p) THEN 0.0 WHEN p IS NULL OR isinf(p) THEN -1.0 ELSE p END AS nan_zero FROM v"""
 SQL["topic_split"] = f"""WITH {MIXED} SELECT message_id, link, commodity,
-    CASE topic WHEN 'prices' THEN 'prices' ELSE 'other' END AS side FROM mixed WHERE coalesce(commodity <> 'signup', true)"""
+    CASE WHEN NOT coalesce(commodity <> 'signup', true) THEN 'none' WHEN topic = 'prices' THEN 'prices' ELSE 'other' END AS side FROM mixed"""
+SQL["volatility_faulty"] = f"WITH {FAULTY} {cv('(SELECT commodity, p AS price FROM v WHERE isfinite(p))')}"
+SQL["alert_faulty"] = f"""WITH {FAULTY}, f AS (SELECT message_id, commodity, p AS price, ts AS event_time, CAST(hour(ts) AS INTEGER) AS hour
+    FROM v WHERE isfinite(p)) {alerts('f', 'event_time, message_id')}"""
 SQL["guards"] = f"""WITH {MIXED} SELECT message_id, link, source_feed, ts_text, coalesce(price > 0, false) AS has_price,
     coalesce(price > 100 AND price < 1000000, false) AS in_range,
     coalesce(trim(lower(' ' || upper(commodity) || ' ')) IN ({IN_VALID}), false) AS is_known,
@@ -319,13 +323,13 @@ SQL["json_encode_kv"] = f"""WITH {TICKS} SELECT commodity AS key, CAST(to_json({
   'commodity': commodity, 'price': price, 'day': day}}) AS VARCHAR) AS value FROM ticks"""
 NEWS_KEY = "md5(CASE WHEN link = '' THEN md5(title || published) ELSE link END)"
 SQL["publish_kv"] = f"""WITH {TICKS}, {ENTRIES}, p AS ({ENVELOPE}), n AS ({news_message(FEED)})
-  SELECT commodity AS key, topic, commodity, count(*) AS n FROM p GROUP BY ALL UNION ALL
-  SELECT {NEWS_KEY} AS key, topic, commodity, count(*) AS n FROM n GROUP BY ALL"""
-SQL["unsent_articles"] = f"""WITH {ENTRIES}, n AS (SELECT {NEWS_KEY} AS key, ts_text FROM ({news_message(FEED)}))
-  SELECT key, count(*) AS n FROM n WHERE ts_text >= '2024-01-16 00:00:00'
-    AND key NOT IN (SELECT key FROM n WHERE ts_text < '2024-01-16 00:00:00') GROUP BY key"""
-SQL["add_provenance"] = f"""WITH {MIXED} SELECT topic, 'mixed-feed' AS _source, count(*) AS n, count(*) AS n_ingested,
-  count(*) AS n_cleaned FROM mixed GROUP BY topic"""
+  SELECT commodity AS key, topic, commodity, price, NULL AS link, ts_iso FROM p UNION ALL
+  SELECT {NEWS_KEY} AS key, topic, commodity, NULL, link, NULL FROM n"""
+SQL["unsent_articles"] = f"""WITH {ENTRIES}, n AS (SELECT {NEWS_KEY} AS key, link, ts_text FROM ({news_message(FEED)}))
+  SELECT key, ts_text AS at, link FROM n WHERE ts_text >= '2024-01-16 00:00:00'
+    AND key NOT IN (SELECT key FROM n WHERE ts_text < '2024-01-16 00:00:00')"""
+SQL["add_provenance"] = f"""WITH {MIXED} SELECT topic, message_id, link, 'mixed-feed' AS _source, true AS ingested,
+  '2024-02-01 00:00:00' AS cleaned FROM mixed"""
 SQL["raw_price_map"] = f"""WITH listed AS (
     SELECT CASE p_type WHEN 'ECONOMY' THEN 'beras' WHEN 'PROMO' THEN 'cabai' WHEN 'SMALL' THEN 'gula'
              WHEN 'LARGE' THEN 'unknown_thing' ELSE 'bawang_merah' END AS commodity,
@@ -348,9 +352,12 @@ SQL["live_projection"] = f"""WITH {MIXED} SELECT topic, coalesce(message_id, lin
     ts_iso, title, left(summary, 300) AS summary, ts_text, published, source_feed FROM mixed"""
 SQL["tagged_feed"] = f"""WITH {MIXED} SELECT CASE topic WHEN 'prices' THEN 'price' ELSE 'news' END AS type, arrived, message_id, link,
   summary FROM mixed"""
-SQL["envelope_unwrap"] = f"""WITH {TICKS} SELECT message_id, commodity, price, day, 'local' AS status FROM ticks
-  ORDER BY day DESC, message_id DESC LIMIT 200"""
-SQL["source_scan"] = f"WITH {MIXED} SELECT topic AS folder, commodity, count(*) AS n, CAST(0 AS BIGINT) AS n_corrupt FROM mixed GROUP BY ALL"
+SQL["envelope_unwrap"] = f"""WITH {TICKS} SELECT message_id, commodity, price, day, strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS at,
+  'local' AS status FROM ticks ORDER BY event_time DESC, message_id DESC LIMIT 200"""
+SQL["source_scan"] = f"""WITH {MIXED} SELECT topic, message_id, link, commodity, price, NULL AS corrupt FROM mixed UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, '{{"message_id": "' || o_orderkey FROM orders WHERE o_totalprice > 400000"""
+SQL["landed_clean"] = SQL["clean_prices"]
+SQL["landed_accounting"] = f"WITH {MIXED}, {D_PRICES}, {D_NEWS} SELECT * FROM ({ACCOUNTING}) WHERE table_name = 'prices'"
 
 SQL["dashboard_totals"] = """SELECT *, n_prices > 0 AS live_ok, n_news > 0 AS news_ok FROM (SELECT (SELECT count(*) FROM events) AS n_prices,
   (SELECT count(DISTINCT event_type) FROM events) AS n_commodities, (SELECT count(*) FROM documents) AS n_news)"""
@@ -372,12 +379,12 @@ SQL["export_tables"] = f"WITH {TICKS}, {DAILY}, {NEWS} " + " UNION ALL ".join(
 
 
 
-def rows(src: str, columns: str, order: str, n: int = 10_000) -> str:
+def rows(src: str, columns: str, order: str, n: int | None = None) -> str:
     """Ordered rows of a query as a list of structs; columns may be ``name`` or ``name=expression``."""
     pairs = [c.partition("=") for c in columns.split("; ")]
     struct = ", ".join(f"'{k.strip()}': {v or k}" for k, _, v in pairs)
     return f"""coalesce((SELECT list({{{struct}}} ORDER BY pos) FROM (
-      SELECT *, row_number() OVER (ORDER BY {order}) AS pos FROM ({src})) WHERE pos <= {n}), [])"""
+      SELECT *, row_number() OVER (ORDER BY {order}) AS pos FROM ({src})){f" WHERE pos <= {n}" if n else ""}), [])"""
 
 
 SUMMARY = SQL["trend_summary"].split(f"WITH {TICKS}, s AS (")[1].split(")\n  SELECT *")[0]
@@ -434,16 +441,18 @@ CLEAN_N = f"""cleaned_news AS (SELECT * FROM (SELECT * FROM mixed WHERE topic =
     QUALIFY row_number() OVER (PARTITION BY link ORDER BY ts_text DESC) = 1)
   WHERE NOT ({BAD_TEXT}) AND NOT ({BAD_COMMODITY}))"""
 SQL["gold_tables"] = f"""WITH {MIXED}, {D_PRICES}, {CLEAN_P}, {CLEAN_N}
-  SELECT 'volatility' AS table_name, count(DISTINCT commodity) AS n_rows FROM cleaned_prices WHERE price > 0 UNION ALL
-  SELECT 'trend', count(DISTINCT (commodity, CAST(event_time AS DATE), hour)) FROM cleaned_prices WHERE price > 0 UNION ALL
-  SELECT 'alert', count(*) FROM ({alerts('cleaned_prices', 'event_time, message_id')}) UNION ALL
-  SELECT 'news_correlation', count(DISTINCT commodity) FROM cleaned_news"""
+  SELECT 'volatility' AS table_name, commodity, NULL AS day, NULL AS hour, cv_index AS value FROM ({cv('cleaned_prices')}) UNION ALL
+  SELECT 'trend', commodity, strftime(obs_date, '%Y-%m-%d'), hour, avg_price FROM ({TREND.replace('FROM ticks', 'FROM cleaned_prices')}) UNION ALL
+  SELECT 'alert', commodity, strftime(obs_date, '%Y-%m-%d'), hour, pct_change FROM ({alerts('cleaned_prices', 'event_time, message_id')}) UNION ALL
+  SELECT 'news_correlation', commodity, NULL, NULL, CAST(count(*) AS DOUBLE) FROM cleaned_news GROUP BY commodity"""
 
-PROFILED = ["message_id", "commodity", "label", "ts_iso", "topic", "link", "ts_text", "source_feed"]
+FILLED = ["message_id", "commodity", "label", "price", "ts_iso", "topic", "title", "link", "summary", "published", "source_feed", "ts_text"]
 SQL["quality_profile"] = f"WITH {MIXED} " + " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, min({c}) AS min_value,
-      max({c}) AS max_value FROM (SELECT *, CAST(NULL AS VARCHAR) AS unit FROM mixed)"""
-    for c in [*PROFILED, "unit"]
+    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CAST(min({c}) AS VARCHAR) AS min_value,
+      CAST(max({c}) AS VARCHAR) AS max_value FROM mixed"""
+    if c in FILLED
+    else f"SELECT '{c}', count(*), count(*), NULL, NULL FROM mixed"
+    for c in MIXED_COLUMNS
 )
 SQL["schema_check"] = f"""WITH {MIXED}, n AS (SELECT count(*) AS n_rows FROM mixed)
   SELECT n_rows, column_name, column_name <> 'event_time' AS present FROM n,
@@ -464,6 +473,21 @@ def periods(unit: str) -> str:
 
 SQL["weekly_volatility"] = periods("week")
 SQL["daily_volatility"] = periods("day")
+# The best split of the daily means in two, found by trying each.
+SQL["trend_clusters"] = f"""WITH d AS ({periods('day')}), v AS (
+    SELECT mean_price, count(*) OVER w AS n, sum(mean_price) OVER w AS s, sum(mean_price * mean_price) OVER w AS q,
+      count(*) OVER () AS n_all, sum(mean_price) OVER () AS s_all, sum(mean_price * mean_price) OVER () AS q_all
+    FROM d WINDOW w AS (ORDER BY mean_price RANGE UNBOUNDED PRECEDING)),
+  best AS (SELECT mean_price AS cut FROM v WHERE n < n_all
+    ORDER BY q - s * s / n + q_all - q - (s_all - s) * (s_all - s) / (n_all - n) LIMIT 1)
+  SELECT commodity, period, mean_price, CASE WHEN mean_price > (SELECT cut FROM best) THEN 1 ELSE 0 END AS cluster FROM d"""
+SQL["sql_hourly_peak"] = "SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n_obs, max(value) AS peak FROM events WHERE value > 0 GROUP BY 1 HAVING count(*) > 1"
+SQL["first_available"] = f"""WITH {TICKS}, {DAILY}, high AS (SELECT * FROM ticks WHERE price > 340)
+  SELECT commodity, price, 'all' AS state FROM high UNION ALL SELECT commodity, price, 'second' FROM high UNION ALL
+  SELECT commodity, price, 'all' FROM daily WHERE NOT EXISTS (FROM high) UNION ALL
+  SELECT p_type, p_retailprice, 'all' FROM part WHERE NOT EXISTS (FROM high) AND p_type NOT IN (SELECT commodity FROM daily) UNION ALL
+  SELECT commodity, price, 'second' FROM daily WHERE commodity NOT IN (SELECT commodity FROM high) UNION ALL
+  SELECT p_type, p_retailprice, 'third' FROM part"""
 DAYS = f"(floor(epoch(event_time)) - epoch(TIMESTAMP '{EPOCH}')) / 86400.0::DOUBLE"
 SQL["trend_slope"] = f"""WITH {TICKS} SELECT commodity, {rnd(f'regr_slope(price, {DAYS})', 4)} AS slope_per_day,
   {rnd(f'regr_intercept(price, {DAYS})', 4)} AS intercept, count(price) AS n_obs FROM ticks WHERE price > 0 GROUP BY commodity"""
@@ -471,10 +495,10 @@ SQL["fill_standardise"] = f"""WITH {MIXED} SELECT message_id, link, upper(source
   regexp_replace(upper(trim(commodity)), '\\s+', ' ', 'g') AS commodity,
   coalesce(title, '') AS title, coalesce(price, 0.0) AS price, 'kg' AS unit FROM mixed"""
 
-SQL["stream_land"] = f"WITH {MIXED} SELECT topic, commodity, count(*) AS n FROM mixed GROUP BY ALL"
+SQL["stream_land"] = f"WITH {MIXED} SELECT topic, message_id, link, commodity, price, ts_iso, ts_text FROM mixed"
 SQL["stream_publish"] = f"""WITH {FAULTY} SELECT commodity AS key, substr(md5(commodity || strftime(ts, {ISO})), 1, 12) AS message_id,
   p AS price, strftime(ts, {ISO}) AS ts_iso FROM v WHERE {REASON} IS NULL"""
-SQL["stream_ingest"] = f"WITH {MIXED} SELECT topic, 'landed' AS _source, count(*) AS n FROM mixed GROUP BY ALL"
+SQL["stream_ingest"] = f"WITH {MIXED} SELECT topic, 'landed' AS _source, message_id, link, commodity, price FROM mixed"
 SQL["stream_fanout"] = f"""WITH {MIXED}, r AS (SELECT *, row_number() OVER (PARTITION BY topic
       ORDER BY arrived DESC, message_id, link, title) AS r FROM mixed)
   SELECT topic AS view, coalesce(message_id, link) AS id, CAST(1 AS BIGINT) AS n FROM r WHERE r <= 10 UNION ALL
@@ -483,4 +507,4 @@ SQL["stream_dedup"] = f"WITH {ENTRIES} SELECT DISTINCT link, title FROM entries"
 SQL["stream_trend"] = f"""WITH {TICKS}, h AS (SELECT commodity, date_trunc('hour', event_time) AS hour_start,
     {rnd('avg(price)', 0)} AS avg_price, {rnd('min(price)', 0)} AS min_price, {rnd('max(price)', 0)} AS max_price,
     count(price) AS n_obs FROM ticks WHERE price > 0 GROUP BY commodity, date_trunc('hour', event_time))
-  SELECT * FROM h WHERE hour_start + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM ticks WHERE price > 0) - INTERVAL 1 HOUR"""
+  SELECT * FROM h"""

@@ -223,7 +223,7 @@ def clean_summary(spark: SparkSession, sf: str) -> DataFrame:
 def _faulty(spark: SparkSession, sf: str) -> DataFrame:
     """Ticks as raw records; some users send broken ones."""
     user = F.col("user_id")
-    broken = {1: "abc", 2: "NaN", 3: "Infinity", 4: "-5", 6: "1000000.01", 9: "0", 10: "-Infinity"}
+    broken = {1: "abc", 2: "NaN", 3: "Infinity", 4: "-5", 6: "1000000.01", 9: "0", 10: "-Infinity", 11: "5d"}
     price = F.when(user == 5, F.lit(None).cast("string"))
     for u, value in broken.items():
         price = price.when(user == u, F.lit(value))
@@ -250,7 +250,7 @@ def validation_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def safe_numbers(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.col("price_text")
-    value = raw.try_cast("double")
+    value = numbers.parsed(raw)
     return _faulty(spark, sf).select(
         "message_id",
         numbers.safe_float(raw).alias("as_float"),
@@ -259,15 +259,29 @@ def safe_numbers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _faulty_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same records with their prices as numbers: NaN and infinite ones among them."""
+    price = numbers.parsed(F.col("price_text"))
+    return _faulty(spark, sf).select("message_id", "commodity", price.alias("price"), "event_time", F.hour("event_time").alias("hour"))
+
+
+@query
+def volatility_faulty(spark: SparkSession, sf: str) -> DataFrame:
+    return volatility.cv_volatility(_faulty_ticks(spark, sf))
+
+
+@query
+def alert_faulty(spark: SparkSession, sf: str) -> DataFrame:
+    return alerts.price_alert(_faulty_ticks(spark, sf))
+
+
 @query
 def topic_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Both sides of the split; messages without a topic are in neither."""
+    """The three sides of the split."""
     rows = A.mixed(spark, sf).withColumn("topic", F.when(F.coalesce(F.col("commodity") != "signup", F.lit(True)), F.col("topic")))
-    same, other = clean.split_by_topic(rows, "prices")
-    columns = ["message_id", "link", "commodity"]
-    return same.select(*columns, F.lit("prices").alias("side")).unionByName(
-        other.select(*columns, F.lit("other").alias("side"))
-    )
+    sides = zip(clean.split_by_topic(rows, "prices"), ("prices", "other", "none"))
+    parts = [df.select("message_id", "link", "commodity", F.lit(side).alias("side")) for df, side in sides]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -392,8 +406,8 @@ def publish_kv(spark: SparkSession, sf: str) -> DataFrame:
     news = publish.keyed_news(news_envelope(spark, sf))
     prices.unionByName(news).write.parquet(path)
     stored = spark.read.schema("key string, value string").parquet(path)
-    topic = F.from_json("value", "topic string, commodity string")
-    return stored.select("key", topic.alias("m")).groupBy("key", "m.topic", "m.commodity").agg(F.count(F.lit(1)).alias("n"))
+    message = F.from_json("value", "topic string, commodity string, price double, link string, ts_iso string")
+    return stored.select("key", message.alias("m")).select("key", "m.*")
 
 
 @query
@@ -402,18 +416,14 @@ def unsent_articles(spark: SparkSession, sf: str) -> DataFrame:
     keyed = publish.keyed_news(news_envelope(spark, sf)).withColumn("at", F.get_json_object("value", "$.ts_text"))
     half = F.lit("2024-01-16 00:00:00")
     fresh = publish.not_yet_sent(keyed.filter(F.col("at") >= half), keyed.filter(F.col("at") < half))
-    return fresh.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return fresh.select("key", "at", F.get_json_object("value", "$.link").alias("link"))
 
 
 @query
 def add_provenance(spark: SparkSession, sf: str) -> DataFrame:
     rows = enrich.add_provenance(A.mixed(spark, sf), "mixed-feed")
     rows = enrich.add_audit(rows, batch_time="2024-02-01 00:00:00")
-    return rows.groupBy("topic", "_source").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("_ingested_at").alias("n_ingested"),
-        F.count("_cleaned_at").alias("n_cleaned"),
-    )
+    return rows.select("topic", "message_id", "link", "_source", F.col("_ingested_at").isNotNull().alias("ingested"), F.date_format("_cleaned_at", "yyyy-MM-dd HH:mm:ss").alias("cleaned"))
 
 
 @query
@@ -493,30 +503,42 @@ def tagged_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def envelope_unwrap(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest prices written as an envelope file and read back as rows."""
-    rows = A.ticks(spark, sf).select("message_id", "commodity", "price", "day")
+    """Newest prices by event time written as an envelope file and read back as rows."""
+    rows = A.ticks(spark, sf).select("message_id", "commodity", "price", "day", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
     at = F.lit(A.EPOCH)
-    wrapped = live.envelope(rows, "prices", at, [F.desc("day"), F.desc("message_id")], live.LIVE_ROWS)
+    wrapped = live.envelope(rows, "prices", at, [F.desc("at"), F.desc("message_id")], live.LIVE_ROWS)
     path = new_dir(spark, "envelope")
     documents.write_document(documents.as_json(wrapped, "value"), path)
-    out, status = files.read_live(spark, path, "message_id string, commodity string, price double, day string")
+    out, status = files.read_live(spark, path, "message_id string, commodity string, price double, day string, at string")
     return out.withColumn("status", F.lit(status))
 
 
 @query
 def source_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages landed as files per topic, read back with the fixed schema and counted."""
+    """Messages landed as files per topic, and each large order as a damaged line, read back."""
     path = new_dir(spark, "landed")
     file_sink.land(A.mixed(spark, sf), path)
-    parts = []
-    for topic in ("prices", "news"):
-        rows = files.read_messages(spark, f"{path}/topic={topic}", multi_line=False)
-        parts.append(
-            rows.groupBy(F.lit(topic).alias("folder"), "commodity").agg(
-                F.count(F.lit(1)).alias("n"), F.count(files.CORRUPT).alias("n_corrupt")
-            )
-        )
-    return parts[0].unionByName(parts[1])
+    damaged = A.table(spark, sf, "orders").filter(F.col("o_totalprice") > BIG_ORDER)
+    damaged.select(F.concat(F.lit('{"message_id": "'), "o_orderkey").alias("value"), F.lit("broken").alias("_topic")).write.mode("append").partitionBy("_topic").text(path)
+    rows = files.read_messages(spark, path, multi_line=False)
+    return rows.select("topic", "message_id", "link", "commodity", "price", F.col(files.CORRUPT).alias("corrupt"))
+
+
+@query
+def landed_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages landed, read back, cleaned: the same rows as cleaning the messages at hand."""
+    path = new_dir(spark, "landed")
+    file_sink.land(A.mixed(spark, sf), path)
+    rows = clean.clean_prices(files.well_formed(files.read_messages(spark, path, multi_line=False)), SETTINGS)
+    return rows.select("message_id", "commodity", "price", "topic", "link", "source_feed", "event_time", "hour", "dow")
+
+
+@query
+def landed_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Rule accounting straight on a JSON read."""
+    path = new_dir(spark, "landed")
+    file_sink.land(A.mixed(spark, sf), path)
+    return clean.price_accounting(files.well_formed(files.read_messages(spark, path, multi_line=False)), SETTINGS)
 
 
 # -- documents --------------------------------------------------------------------------------
@@ -636,7 +658,7 @@ def schema_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gold_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw to gold for both feeds in one folder; rows per gold table after all layers."""
+    """Raw to gold for both feeds in one folder: the rows of the gold tables after all layers."""
     house = lakehouse.Lakehouse(spark, new_dir(spark, "house"), SETTINGS)
     rows = A.mixed(spark, sf)
     house.bronze("prices", rows, "mixed-feed")
@@ -644,14 +666,20 @@ def gold_tables(spark: SparkSession, sf: str) -> DataFrame:
     house.silver()
     house.gold()
     house.review_critical()
-    return files.count_rows(**{n: house.table("gold", n).read() for n in documents.EXPORT_LIMITS})
+    lead = {"volatility": "cv_index", "trend": "avg_price", "alert": "pct_change", "news_correlation": "n_news"}
+    parts = []
+    for name, column in lead.items():
+        rows = house.table("gold", name).read()
+        hour = F.col("hour") if "hour" in rows.columns else F.lit(None).cast("int")
+        day = F.date_format("obs_date", "yyyy-MM-dd") if "obs_date" in rows.columns else F.lit(None).cast("string")
+        parts.append(rows.select(F.lit(name).alias("table_name"), "commodity", day.alias("day"), hour.alias("hour"), F.col(column).cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # -- quality ----------------------------------------------------------------------------------
 @query
 def quality_profile(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.mixed(spark, sf).select("message_id", "commodity", "label", "ts_iso", "topic", "link", "ts_text", "source_feed", "unit")
-    return quality.profile(rows)
+    return quality.profile(A.mixed(spark, sf))
 
 
 @query
@@ -688,7 +716,27 @@ def trend_slope(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def trend_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.trend_clusters(A.ticks(spark, sf))
+    """Commodity-days in two clusters by mean price."""
+    return stats.trend_clusters(A.ticks(spark, sf), features=("mean_price",)).select("commodity", "period", "mean_price", "cluster")
+
+
+@query
+def sql_hourly_peak(spark: SparkSession, sf: str) -> DataFrame:
+    """A query in SQL text over a view of the prices."""
+    A.ticks(spark, sf).createOrReplaceTempView("price_ticks")
+    return spark.sql("SELECT hour, count(*) AS n_obs, max(price) AS peak FROM price_ticks WHERE price > 0 GROUP BY hour HAVING count(*) > 1")
+
+
+@query
+def first_available(spark: SparkSession, sf: str) -> DataFrame:
+    """The fall-through of the price sources in three states: first empty, first and second empty, none empty."""
+    columns = ["commodity", "price"]
+    prices = A.ticks(spark, sf)
+    feeds = [prices.filter(F.col("price") > 340).select(*columns), alerts.daily_mean(prices).select(*columns), A.list_prices(spark, sf).select(*columns)]
+    none = feeds[0].limit(0)
+    states = {"all": feeds, "second": [none, feeds[0], feeds[1]], "third": [none, none, feeds[2]]}
+    parts = [enrich.first_available(s).withColumn("state", F.lit(name)) for name, s in states.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -712,7 +760,7 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     out = new_dir(spark, "stream-landed")
     runner.drain(jobs.land(streams.read_files(spark, source), out), f"{out}-checkpoint")
     landed = spark.read.schema(schemas.MIXED).json(out)
-    return landed.groupBy("topic", "commodity").agg(F.count(F.lit(1)).alias("n"))
+    return landed.select("topic", "message_id", "link", "commodity", "price", "ts_iso", "ts_text")
 
 
 @query
@@ -722,7 +770,7 @@ def stream_publish(spark: SparkSession, sf: str) -> DataFrame:
     _faulty(spark, sf).write.parquet(path)
     schema = "message_id string, commodity string, price_text string, unit string, event_time timestamp_ntz"
     valid = jobs.validated(spark.readStream.schema(schema).parquet(path), [*A.KEYWORDS], "price_text")
-    records = valid.withColumn("price", F.col("price_text").try_cast("double")).drop("message_id")
+    records = valid.withColumn("price", numbers.parsed(F.col("price_text"))).drop("message_id")
     messages = publish.keyed_prices(enrich.price_envelope(records, F.col("event_time")))
     runner.drain(messages.writeStream.format("parquet").option("path", out), f"{out}-checkpoint")
     message = F.from_json("value", "message_id string, price double, ts_iso string")
@@ -736,7 +784,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     table = SnapshotTable(spark, new_dir(spark, "stream-bronze"))
     for _ in range(2):
         runner.drain(jobs.ingest(streams.read_files(spark, source), table, "landed"), f"{table.path}-checkpoint")
-    return table.read().groupBy("topic", "_source").agg(F.count(F.lit(1)).alias("n"))
+    return table.read().select("topic", "_source", "message_id", "link", "commodity", "price")
 
 
 @query
@@ -757,16 +805,14 @@ def stream_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Each article once; all times lie within the watermark."""
-    path = new_dir(spark, "stream-news")
-    A.feed_entries(spark, sf).select("link", "title", "published", "event_time").write.parquet(path)
-    stream = spark.readStream.schema(
-        "link string, title string, published string, event_time timestamp_ntz"
-    ).parquet(path)
-    timed = stream.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    out = new_dir(spark, "stream-unique")
-    writer = jobs.dedup_news(timed, delay="60 days").writeStream.format("parquet").option("path", out)
-    runner.drain(writer, f"{out}-checkpoint")
+    """Each article once, from two runs: the earlier half of the month comes last."""
+    path, out = new_dir(spark, "stream-news"), new_dir(spark, "stream-unique")
+    rows = A.feed_entries(spark, sf).select("link", "title", "published", "event_time")
+    half = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for part in (rows.filter(F.col("event_time") >= half), rows.filter(F.col("event_time") < half)):
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        runner.drain(jobs.dedup_news(stream, out), f"{out}-checkpoint")
     return spark.read.schema("link string, title string").parquet(out).select("link", "title")
 
 
@@ -781,17 +827,14 @@ def _tick_files(spark: SparkSession, sf: str) -> tuple[str, str, DataFrame, Data
 
 @query
 def stream_trend(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed hours of the month, from two runs over growing input."""
+    """Hours of the month, from two runs: the earlier half comes last."""
     root, schema, first, second = _tick_files(spark, sf)
     out = f"{root}-trend"
-    for rows in (first, second):
+    for rows in (second, first):
         rows.write.mode("append").parquet(root)
         stream = spark.readStream.schema(schema).parquet(root)
-        timed = stream.withColumn("event_time", F.col("event_time").cast("timestamp"))
-        writer = jobs.hourly_trend(timed).writeStream.outputMode("append").format("parquet").option("path", out)
-        runner.drain(writer, f"{out}-checkpoint")
-    result = spark.read.parquet(out)
-    return result.withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz"))
+        runner.drain(jobs.hourly_trend(stream, out), f"{out}-checkpoint")
+    return jobs.hourly_totals(spark, out)
 
 
 @query

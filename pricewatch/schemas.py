@@ -42,17 +42,11 @@ def _ddl(fields: list[tuple[str, str, str]], wire: bool = False) -> str:
     return ", ".join(f"`{w if wire else o}` {t}" for w, t, o in fields)
 
 
-PRICE = _ddl(_PRICE_FIELDS)
-NEWS = (
-    "title string, link string, summary string, published string, source_feed string, "
-    "commodity string, ts_text string, topic string"
-)
 #: Both message kinds in one row shape, absent fields null.
 MIXED = _ddl(_PRICE_FIELDS + _NEWS_FIELDS)
 MIXED_WIRE = _ddl(_PRICE_FIELDS + _NEWS_FIELDS, wire=True)
 MIXED_COLUMNS = [ours for _, _, ours in _PRICE_FIELDS + _NEWS_FIELDS]
 #: Raw table: the mixed shape plus provenance.
-BRONZE = MIXED + ", _ingested_at timestamp, _source string"
 BRONZE_COLUMNS = [*MIXED_COLUMNS, "_ingested_at", "_source"]
 
 

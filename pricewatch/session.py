@@ -5,10 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side with at most this many narrow rows (about 10 MB) is shipped to every executor.
-BROADCAST_ROWS = 100_000
 
 
 def build_session(app: str = "pricewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,15 +33,9 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/pricewatch/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from the written copy."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the rows; a larger side stays a shuffled join,
-    where adaptive execution splits skewed keys."""
-    df = cut_lineage(df)
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read back: later steps see the same rows, read only the
+    columns they need, and survive lost executors."""
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,8 +11,6 @@ from pricewatch.functions import numbers, times
 
 #: Rows of each table in the dashboard export.
 EXPORT_LIMITS = {"volatility": 50, "trend": 100, "alert": 50, "news_correlation": 50}
-#: An unlimited section must stay within this many rows (it has one per commodity).
-SECTION_ROWS = 10_000
 
 
 def clean_numbers(df: DataFrame) -> DataFrame:
@@ -34,22 +32,20 @@ def iso_times(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def top(df: DataFrame, order_by: list[Column], n: int) -> DataFrame:
-    """First ``n`` rows with their ``position``; only those ``n`` rows reach one task."""
-    return df.orderBy(*order_by).limit(n).withColumn("position", F.row_number().over(Window.orderBy(*order_by)))
+def top(df: DataFrame, order_by: list[Column], n: int | None) -> DataFrame:
+    """First ``n`` rows (all without ``n``) with their ``position``; only those reach one task."""
+    first = df.orderBy(*order_by).limit(n) if n is not None else df
+    return first.withColumn("position", F.row_number().over(Window.orderBy(*order_by)))
 
 
 def rows_as_array(df: DataFrame, order_by: list[Column], n: int | None = None) -> DataFrame:
-    """One row holding the first ``n`` rows as an ordered array. Without ``n`` all rows are kept, and
-    a table too large for one document is an error instead of a cut."""
-    ranked = top(df, order_by, n if n is not None else SECTION_ROWS + 1)
+    """One row holding the first ``n`` rows as an ordered array; without ``n``, all rows.
+
+    A section without a limit must be an aggregate with a row per commodity: a document is one row
+    and as long as the list of commodities.
+    """
     packed = F.array_sort(F.collect_list(F.struct("position", F.struct(*df.columns).alias("row"))))
-    rows = F.transform(packed, lambda x: x["row"])
-    out = ranked.agg(rows.alias("rows"))
-    if n is None:
-        too_long = F.raise_error(F.lit(f"a document section exceeds {SECTION_ROWS} rows"))
-        out = out.select(F.when(F.size("rows") > SECTION_ROWS, too_long).otherwise(F.col("rows")).alias("rows"))
-    return out
+    return top(df, order_by, n).agg(F.transform(packed, lambda x: x["row"]).alias("rows"))
 
 
 def document(sections: dict[str, DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ from pricewatch.operators.slices import newest_per_key
 from pricewatch.sources.snapshots import SnapshotTable
 
 LIVE_ROWS = 200
-SUMMARY_CHARS = 300  # displayed length of a summary
+SUMMARY_CHARS = 300  # displayed length of a summary, in the view only
 
 
 def _arrival() -> Column:
@@ -41,13 +41,23 @@ def live_prices(messages: DataFrame, topic: str = "prices", now: Column | None =
     )
 
 
-def live_news(messages: DataFrame, topic: str = "news", general: str = "umum", now: Column | None = None) -> DataFrame:
-    """The seven fields shown for an article, with defaults, and ``arrived`` to order by."""
+def live_news(
+    messages: DataFrame,
+    topic: str = "news",
+    general: str = "umum",
+    now: Column | None = None,
+    summary_chars: int | None = SUMMARY_CHARS,
+) -> DataFrame:
+    """The seven fields shown for an article, with defaults, and ``arrived`` to order by.
+
+    ``summary_chars`` is the display format's limit; None shows whole summaries.
+    """
+    summary = F.coalesce("summary", F.lit(""))
     now_text = F.date_format(now if now is not None else F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     return messages.filter(F.col("topic") == topic).select(
         _or("title", ""),
         _or("link", "#"),
-        F.substring(F.coalesce("summary", F.lit("")), 1, SUMMARY_CHARS).alias("summary"),
+        (summary if summary_chars is None else F.substring(summary, 1, summary_chars)).alias("summary"),
         _or("commodity", general),
         F.coalesce("ts_text", now_text).alias("ts_text"),
         _or("published", ""),

@@ -23,7 +23,8 @@ def read_messages(spark: SparkSession, path: str, wire: bool = False, multi_line
 
     A file that is not valid JSON gives one row whose ``_corrupt_record`` holds its text; use
     :func:`well_formed` to leave such rows out. ``multi_line`` is for files holding one JSON
-    array; line-delimited files are read with ``multi_line=False`` and can be split.
+    array; line-delimited files are read with ``multi_line=False`` and can be split. Folders named
+    ``key=value`` below the path are followed.
     """
     schema = schemas.MIXED_WIRE if wire else schemas.MIXED
     df = (
@@ -31,9 +32,9 @@ def read_messages(spark: SparkSession, path: str, wire: bool = False, multi_line
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
         .json(path)
     )
+    df = df.select(*[c for c in df.columns if c != "_topic"])
     return rename_wire(df) if wire else df
 
 
@@ -77,17 +78,6 @@ def _nested(schema: str) -> str:
     return ", ".join("{}: {}".format(*field.split(" ", 1)) for field in schema.split(", "))
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Parquet folder, with a fixed schema if one is given."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
-
-
-def read_merged(spark: SparkSession, *paths: str) -> DataFrame:
-    """Parquet folders written with different but compatible schemas, columns merged."""
-    return spark.read.option("mergeSchema", True).parquet(*paths)
-
-
 def count_rows(**tables: DataFrame) -> DataFrame:
     """One row per named table with its row count."""
     counts = [df.agg(F.count(F.lit(1)).alias("n_rows")) for df in tables.values()]

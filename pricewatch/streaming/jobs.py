@@ -3,7 +3,7 @@ replayed batch adds nothing twice."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -11,9 +11,9 @@ from pricewatch import dims
 from pricewatch.functions import text
 from pricewatch.operators import clean
 from pricewatch.operators.alerts import ALERT_COLUMNS, classify_changes, with_previous
+from pricewatch.operators.dedup import keep_one
 from pricewatch.operators.enrich import add_provenance
 from pricewatch.operators.slices import newest_per_key
-from pricewatch.session import broadcast_if_small
 from pricewatch.sinks import live
 from pricewatch.sources.snapshots import SnapshotTable
 
@@ -25,7 +25,7 @@ def land(stream: DataFrame, path: str) -> DataStreamWriter:
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("topic").isNull()).alias("without_topic"),
     )
-    return counted.writeStream.format("json").option("path", path).partitionBy("topic")
+    return counted.withColumn("_topic", F.col("topic")).writeStream.format("json").option("path", path).partitionBy("_topic")
 
 
 def validated(stream: DataFrame, known: list[str], raw_price: str = "price") -> DataFrame:
@@ -70,36 +70,68 @@ def fan_out(
     return stream.writeStream.foreachBatch(write)
 
 
-def dedup_news(stream: DataFrame, time_column: str = "event_time", delay: str = "10 minutes", salts: int = 32) -> DataFrame:
-    """Each article once within the watermark.
+ARTICLE = "_article string"
 
-    Copies are first removed per (article, salt), which spreads an article with very many copies
-    over several tasks, and then per article.
+
+def dedup_news(stream: DataFrame, path: str, time_column: str = "event_time") -> DataStreamWriter:
+    """Each article once, however late a copy comes: parquet folders ``batch=N`` under ``path``.
+
+    A batch keeps the earliest row of each article and leaves out the articles of earlier batches,
+    of which it reads the key only. A replayed batch writes the same rows again.
     """
     article = text.article_id(F.col("link"), F.col("title"), F.col("published"))
-    return (
-        stream.withWatermark(time_column, delay)
-        .withColumns({"_article": article, "_salt": F.pmod(F.spark_partition_id(), F.lit(salts))})
-        .dropDuplicatesWithinWatermark(["_article", "_salt"])
-        .dropDuplicatesWithinWatermark(["_article"])
-        .drop("_article", "_salt")
-    )
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = keep_one(batch.withColumn("_article", article), ["_article"], [F.col(time_column).asc_nulls_last()])
+        if batch_id > 0:
+            seen = batch.sparkSession.read.schema(f"{ARTICLE}, batch int").parquet(path)
+            rows = rows.join(seen.filter(F.col("batch") < batch_id).select("_article"), "_article", "left_anti")
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(write)
+
+
+HOURS = "commodity string, hour_start timestamp_ntz, total double, n_obs bigint, low double, high double"
 
-def hourly_trend(stream: DataFrame, delay: str = "1 hour", time_column: str = "event_time") -> DataFrame:
-    """Hourly mean, low, high and count per commodity, emitted when the watermark closes the hour."""
-    return (
-        stream.filter(F.col("price").isNotNull() & (F.col("price") > 0))
-        .withWatermark(time_column, delay)
-        .groupBy(F.window(time_column, "1 hour").alias("w"), "commodity")
-        .agg(
-            F.round(F.avg("price"), 0).alias("avg_price"),
-            F.round(F.min("price"), 0).alias("min_price"),
-            F.round(F.max("price"), 0).alias("max_price"),
-            F.count("price").alias("n_obs"),
+
+def hourly_trend(stream: DataFrame, path: str, time_column: str = "event_time") -> DataStreamWriter:
+    """Sum, count, low and high per commodity and hour of each batch, as folders ``batch=N`` under
+    ``path``. Rows of any age count, and open hours are in; :func:`hourly_totals` adds the batches up."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        hour = F.date_trunc("hour", F.col(time_column)).cast("timestamp_ntz").alias("hour_start")
+        parts = (
+            clean.priced(batch, time_column)
+            .groupBy("commodity", hour)
+            .agg(
+                F.sum("price").alias("total"),
+                F.count("price").alias("n_obs"),
+                F.min("price").alias("low"),
+                F.max("price").alias("high"),
+            )
         )
-        .select("commodity", F.col("w.start").alias("hour_start"), "avg_price", "min_price", "max_price", "n_obs")
+        parts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(write)
+
+
+def hourly_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Hourly mean, low, high and count per commodity over all batches so far."""
+    parts = spark.read.schema(f"{HOURS}, batch int").parquet(path)
+    sums = parts.groupBy("commodity", "hour_start").agg(
+        F.round(F.sum("total") / F.sum("n_obs"), 0).alias("avg_price"),
+        F.round(F.min("low"), 0).alias("min_price"),
+        F.round(F.max("high"), 0).alias("max_price"),
+        F.sum("n_obs").alias("n_obs"),
     )
+    return sums
+
+
+def compact_hours(spark: SparkSession, path: str, into: str) -> None:
+    """All batches so far as one batch of a new folder, for a job that starts over from there."""
+    parts = spark.read.schema(f"{HOURS}, batch int").parquet(path)
+    sums = parts.groupBy("commodity", "hour_start").agg(F.sum("total").alias("total"), F.sum("n_obs").alias("n_obs"), F.min("low").alias("low"), F.max("high").alias("high"))
+    sums.write.parquet(f"{into}/batch=-1")
 
 
 STATE = "commodity string, event_time timestamp_ntz, message_id string, price double"
@@ -118,11 +150,10 @@ def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, **li
         last = spark.createDataFrame([], STATE)
         if batch_id > 0:
             last = spark.read.schema(STATE).parquet(f"{path}/state/batch={batch_id - 1}")
-        rows = batch.select("commodity", "event_time", "message_id", "price")
-        rows = rows.filter(F.col("price").isNotNull() & (F.col("price") > 0) & F.col("event_time").isNotNull())
+        rows = clean.priced(batch.select("commodity", "event_time", "message_id", "price"), "event_time")
         seen = last.select("commodity", F.struct("event_time", "message_id").alias("_last"))
         is_late = F.struct("event_time", "message_id") <= F.col("_last")
-        marked = rows.join(broadcast_if_small(seen), "commodity", "left")
+        marked = rows.join(seen, "commodity", "left")
         marked = marked.withColumn("_late", F.coalesce(is_late, F.lit(False))).drop("_last").persist()
         try:
             fresh = marked.filter(~F.col("_late")).withColumn("_state", F.lit(False)).drop("_late")

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF
+from pricewatch.plans import oracle, queries
 from tools.check import compare, connect
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.QUERIES, oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def duck():
 
 
 def test_sql_belongs_to_queries():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):

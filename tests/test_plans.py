@@ -20,7 +20,7 @@ def plan(spark, capsys):
 def test_scan_reads_two_columns_and_pushes_the_filter(plan):
     p = plan(q.volatility_cv)
     assert "ReadSchema: struct<event_type:string,value:double>" in p
-    assert "PushedFilters: [IsNotNull(value), GreaterThan(value,0.0)]" in p
+    assert "PushedFilters: [IsNotNull(value), GreaterThan(value,0.0), LessThan(value,Infinity)]" in p
     assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 1
     assert "partial_stddev" in p
 
@@ -30,23 +30,11 @@ def test_aggregates_hash(plan, query):
     assert "SortAggregate" not in plan(query)
 
 
-def test_rows_are_shuffled_by_key_and_slice(spark, plan):
-    from pricewatch.operators.slices import _slices
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    from pricewatch.sources import adapters
-
-    ticks = adapters.ticks(spark, SF).select("commodity", "event_time", "message_id", "price")
-    window = Window.partitionBy("commodity", "_slice").orderBy("event_time", "message_id")
-    keys, order, bucket = ["commodity"], ["event_time", "message_id"], F.date_trunc("hour", F.col("event_time"))
-
-    def exchanges(max_rows):
-        sliced = _slices(ticks, keys, order, bucket, None, max_rows)
-        return re.findall(r"(hashpartitioning|rangepartitioning)\((.*?),", plan(lambda *_: sliced.withColumn("p", F.lag("price").over(window))))
-
-    assert [kind for kind, _ in exchanges(10**6)] == ["hashpartitioning"]
-    assert [kind for kind, _ in exchanges(1)] == ["rangepartitioning", "hashpartitioning"]
+@pytest.mark.parametrize("query", [q.price_alert_scaled, q.alert_last3, q.rolling_avg])
+def test_windows_read_pruned_parquet_slices(plan, query):
+    p = plan(query)
+    assert "ExistingRDD" not in p and p.count("slices-") >= 2
+    assert all("props" not in schema for schema in re.findall(r"ReadSchema: (.*)", p))
 
 
 def test_dedup_and_newest_reduce_before_the_shuffle(plan):
@@ -55,18 +43,6 @@ def test_dedup_and_newest_reduce_before_the_shuffle(plan):
         assert len(re.findall(r"Arguments: .*row_number\(\), \d+, Partial", p)) == stages, query.__name__
 
 
-def test_small_sides_are_broadcast_after_the_count(plan):
+def test_small_sides_are_broadcast_by_their_bytes(plan):
     p = plan(q.zscore_anomaly)
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-
-
-def test_large_side_is_not_broadcast(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    from pricewatch.session import broadcast_if_small
-
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-    assert hinted(broadcast_if_small(spark.range(10), max_rows=10))
-    assert not hinted(broadcast_if_small(spark.range(11), max_rows=10))
-    joined = spark.range(5).join(broadcast_if_small(spark.range(11).withColumn("v", F.lit(1)), max_rows=10), "id")
-    assert joined.count() == 5

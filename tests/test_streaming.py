@@ -24,7 +24,7 @@ def test_alerts_over_batches_equal_batch(spark):
         part = ticks.filter((F.col("event_time") >= F.lit(a)) & (F.col("event_time") < F.lit(b)))
         part.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
-        runner.drain(jobs.alerts(stream, f"{root}/out", max_rows=3, slices=5), f"{root}/checkpoint")
+        runner.drain(jobs.alerts(stream, f"{root}/out", slices=5), f"{root}/checkpoint")
     got = spark.read.parquet(f"{root}/out/alerts").select(*alerts.ALERT_COLUMNS)
     want = alerts.price_alert(adapters.ticks(spark, SF))
     assert rows_of(got) == rows_of(want)
@@ -89,12 +89,22 @@ def test_dedup_of_a_hot_article(spark):
     schema = "link string, title string, published string, event_time timestamp"
     for part in (n, n):
         part.repartition(8).write.mode("append").parquet(f"{root}/in")
-        stream = jobs.dedup_news(spark.readStream.schema(schema).parquet(f"{root}/in"), delay="1 day")
-        runner.drain(stream.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint")
+        runner.drain(jobs.dedup_news(spark.readStream.schema(schema).parquet(f"{root}/in"), f"{root}/out"), f"{root}/checkpoint")
     got = [r.link for r in spark.read.schema("link string").parquet(f"{root}/out").collect()]
     assert len(got) == len(set(got)) == 1001
 
 
+def test_late_copy_and_late_article(spark):
+    root = new_dir(spark, "late-news")
+    schema = "link string, title string, published string, event_time timestamp"
+    for rows in ([("a", 100), ("b", 200)], [("a", 1), ("c", 2)], [("c", 300), ("d", 50)]):
+        part = spark.createDataFrame(rows, "link string, t int").select("link", F.lit("t").alias("title"), F.lit("p").alias("published"), F.timestamp_seconds("t").alias("event_time"))
+        part.write.mode("append").parquet(f"{root}/in")
+        runner.drain(jobs.dedup_news(spark.readStream.schema(schema).parquet(f"{root}/in"), f"{root}/out"), f"{root}/checkpoint")
+    got = spark.read.schema(schema).parquet(f"{root}/out").select("link", F.unix_timestamp("event_time").alias("t"))
+    assert rows_of(got) == [("a", 100), ("b", 200), ("c", 2), ("d", 50)]
+
+
 def test_fan_out_views_follow_the_stream(spark):
     root = new_dir(spark, "fan")
     prices, news = SnapshotTable(spark, f"{root}/p"), SnapshotTable(spark, f"{root}/n")
@@ -121,20 +131,19 @@ def test_running_query_is_drained_on_stop(spark):
 
 
 def test_trend_over_batches_equals_batch(spark):
+    """The later rows come first; late hours, NaN and infinite prices are handled."""
     root = new_dir(spark, "trend")
     ticks = adapters.ticks(spark, SF).select("message_id", "commodity", "price", "event_time")
-    for a, b in (("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-02-01")):
+    odd = ticks.limit(2).withColumn("price", F.lit(float("nan"))).union(ticks.limit(2).withColumn("price", F.lit(float("inf"))))
+    for a, b in (("2024-01-10", "2024-02-01"), ("2024-01-01", "2024-01-10")):
         part = ticks.filter((F.col("event_time") >= F.lit(a)) & (F.col("event_time") < F.lit(b)))
-        part.write.mode("append").parquet(f"{root}/in")
+        part.union(odd).write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
-        stream = stream.withColumn("event_time", F.col("event_time").cast("timestamp"))
-        writer = jobs.hourly_trend(stream, "30 minutes").writeStream.outputMode("append").format("parquet")
-        runner.drain(writer.option("path", f"{root}/out"), f"{root}/checkpoint")
-    got = spark.read.parquet(f"{root}/out")
-    last = ticks.agg(F.max("event_time").cast("timestamp") - F.expr("interval 30 minutes")).first()[0]
-    want = ticks.groupBy("commodity", F.date_trunc("hour", "event_time").alias("h")).agg(F.count("price").alias("n"))
-    want = want.filter(F.col("h") + F.expr("interval 1 hour") <= F.lit(last))
-    assert rows_of(got.select("commodity", "hour_start", "n_obs")) == rows_of(want)
+        runner.drain(jobs.hourly_trend(stream, f"{root}/out"), f"{root}/checkpoint")
+    want = ticks.groupBy("commodity", F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("h")).agg(F.count("price").alias("n"), F.round(F.max("price"), 0))
+    assert rows_of(jobs.hourly_totals(spark, f"{root}/out").select("commodity", "hour_start", "n_obs", "max_price")) == rows_of(want)
+    jobs.compact_hours(spark, f"{root}/out", f"{root}/compact")
+    assert rows_of(jobs.hourly_totals(spark, f"{root}/compact")) == rows_of(jobs.hourly_totals(spark, f"{root}/out"))
 
 
 def test_validation_counts_are_observed(spark):

@@ -154,11 +154,23 @@ def test_export_document(spark):
     assert doc["alert"][0]["event_time"].endswith("T00:00:00.000000")
 
 
-def test_too_long_section_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(documents, "SECTION_ROWS", 3)
-    assert len(documents.rows_as_array(spark.range(3), [F.asc("id")]).first().rows) == 3
-    with pytest.raises(Exception, match="section exceeds"):
-        documents.rows_as_array(spark.range(4), [F.asc("id")]).collect()
+def test_section_of_many_commodities(spark):
+    rows = spark.range(10_001).select(F.format_string("c%05d", "id").alias("commodity"))
+    doc = documents.as_json(documents.document({"all": documents.rows_as_array(rows, [F.desc("commodity")])}))
+    got = json.loads(doc.first().document)["all"]
+    assert len(got) == 10_001 and got[0]["commodity"] == "c10000"
+
+
+def test_landing_keeps_the_topic(spark):
+    from pricewatch.sinks import files as file_sink
+
+    path = new_dir(spark, "landed")
+    rows = adapters.mixed(spark, SF)
+    file_sink.land(rows, path)
+    back = files.well_formed(files.read_messages(spark, path, multi_line=False))
+    assert back.columns == schemas.MIXED_COLUMNS
+    assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+    assert clean.price_accounting(back, queries.SETTINGS).filter("step = 1").first().n_before == rows.count()
 
 
 def test_document_written_as_one_text(spark):

@@ -41,25 +41,10 @@ def test_sliced_window_equals_plain(spark, instants, n_slices, depth):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-@pytest.mark.parametrize("unit", ["minute", "hour", "day"])
-@pytest.mark.parametrize("max_rows", [5, 10**6])
-def test_bucketed_window_equals_plain(spark, unit, max_rows):
-    """A bucket within the limit is used; beyond it the rows are range-partitioned."""
-    df = ticks(spark, 400, 11, 3000)
-    exprs = {"prev": lambda w: F.lag("price", 2).over(w)}
-    bucket = F.date_trunc(unit, F.col("event_time"))
-    got = slices.sliced_window(df, ["commodity"], ["event_time", "message_id"], 2, exprs, bucket, max_rows=max_rows)
-    plain = Window.partitionBy("commodity").orderBy("event_time", "message_id")
-    want = df.withColumn("prev", F.lag("price", 2).over(plain))
-    assert got.count() == df.count()
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-
-
 def test_window_of_nothing(spark):
     exprs = {"prev": lambda w: F.lag("price", 1).over(w)}
-    bucket = F.date_trunc("hour", F.col("event_time"))
     none = spark.createDataFrame([], SCHEMA)
-    assert slices.sliced_window(none, ["commodity"], ["event_time", "message_id"], 1, exprs, bucket).count() == 0
+    assert slices.sliced_window(none, ["commodity"], ["event_time", "message_id"], 1, exprs).count() == 0
 
 
 def test_hot_key_is_spread_over_slices(spark):
