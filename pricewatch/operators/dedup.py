@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 def keep_one(df: DataFrame, keys: list[str], prefer: list[Column] | None = None) -> DataFrame:
     """One row per key; null keys count as equal.
 
-    ``prefer`` decides the survivor and every other column breaks ties. The rank filter is also
-    applied before the shuffle, so a key with very many copies leaves at most one row per task.
+    ``prefer`` decides the survivor, then the columns that are no text, then the digests of the
+    texts, so that no text is compared or carried as a sort key. The rank filter is also applied
+    before the shuffle, so a key with very many copies leaves at most one row per task.
     """
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*(prefer or []), *rest)
+    kinds = {c: t for c, t in df.dtypes if c not in keys}
+    short = [F.col(c).asc_nulls_last() for c, t in kinds.items() if t != "string"]
+    texts = [c for c, t in kinds.items() if t == "string"]
+    digest = [F.md5(F.concat_ws("\x1f", *[F.md5(F.coalesce(c, F.lit(""))) for c in texts])).asc()] if texts else []
+    window = Window.partitionBy(*keys).orderBy(*(prefer or []), *short, *digest)
     return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pricewatch.functions.text import OUTSIDE, SPACES
+from pricewatch.schemas import MIXED as MIXED_FIELDS
 from pricewatch.schemas import MIXED_COLUMNS
 from pricewatch.sources.adapters import EPOCH, KEYWORDS, MENTIONS, VALID
 
@@ -201,17 +202,31 @@ SQL["keyword_tag_multi"] = f"WITH {ENTRIES} SELECT doc_id, mentioned FROM ({MULT
 SQL["html_strip"] = f"""SELECT page_id, {strip("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title,
   {tags('html')} AS body FROM pages"""
 
-SQL["dedup_composite"] = """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-  ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1"""
+FILLED = ["message_id", "commodity", "label", "price", "ts_iso", "topic", "title", "link", "summary", "published", "source_feed", "ts_text"]
+
+
+def digest(columns: list[str]) -> str:
+    """Digest of several text columns, which orders rows that agree in all else."""
+    return "md5(concat_ws(chr(31), " + ", ".join(f"md5(coalesce({c}, ''))" for c in columns) + "))"
+
+
+def mixed_digest(*keys: str) -> str:
+    """The same over the text columns of a mixed message but for the keys; columns that are never filled are empty."""
+    texts = [f.split("` ")[0].strip("` ") for f in MIXED_FIELDS.split(", ") if f.endswith(" string")]
+    return digest([c if c in FILLED else "''" for c in texts if c not in keys])
+
+
+SQL["dedup_composite"] = f"""SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, {digest(["l_returnflag", "l_linestatus"])}) = 1"""
 SQL["dedup_link"] = f"""WITH {ENTRIES} SELECT doc_id, title, link, summary, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS published,
     CAST(NULL AS VARCHAR) AS updated, source_feed, event_time FROM entries
   QUALIFY row_number() OVER (PARTITION BY link ORDER BY event_time DESC, doc_id) = 1"""
 SQL["dedup_counts"] = """SELECT CAST(count(*) AS BIGINT) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_distinct,
   count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS n_removed FROM lineitem"""
-D_PRICES = """price_unique AS (SELECT * FROM mixed QUALIFY row_number() OVER (PARTITION BY message_id, commodity, ts_text
-  ORDER BY ts_iso DESC NULLS LAST, label, price, topic, title NULLS LAST, link NULLS LAST, summary, published, source_feed) = 1)"""
-D_NEWS = """news_unique AS (SELECT * FROM mixed QUALIFY row_number() OVER (PARTITION BY link
-  ORDER BY ts_text DESC NULLS LAST, message_id, commodity, label, price, ts_iso, topic, title, summary, published, source_feed) = 1)"""
+D_PRICES = f"""price_unique AS (SELECT * FROM mixed QUALIFY row_number() OVER (PARTITION BY message_id, commodity, ts_text
+  ORDER BY ts_iso DESC NULLS LAST, price NULLS LAST, {mixed_digest("message_id", "commodity", "ts_text")}) = 1)"""
+D_NEWS = f"""news_unique AS (SELECT * FROM mixed QUALIFY row_number() OVER (PARTITION BY link
+  ORDER BY ts_text DESC NULLS LAST, price NULLS LAST, {mixed_digest("link")}) = 1)"""
 BAD_PRICE = "(topic = 'prices' AND NOT coalesce(price > 100 AND price < 1000000, false))"
 BAD_COMMODITY = f"NOT coalesce(trim(lower(commodity)) IN ({IN_VALID}), false)"
 BAD_TEXT = "NOT coalesce(length(trim(title)) > 0 AND length(trim(summary)) > 0, false)"
@@ -446,7 +461,6 @@ SQL["gold_tables"] = f"""WITH {MIXED}, {D_PRICES}, {CLEAN_P}, {CLEAN_N}
   SELECT 'alert', commodity, strftime(obs_date, '%Y-%m-%d'), hour, pct_change FROM ({alerts('cleaned_prices', 'event_time, message_id')}) UNION ALL
   SELECT 'news_correlation', commodity, NULL, NULL, CAST(count(*) AS DOUBLE) FROM cleaned_news GROUP BY commodity"""
 
-FILLED = ["message_id", "commodity", "label", "price", "ts_iso", "topic", "title", "link", "summary", "published", "source_feed", "ts_text"]
 SQL["quality_profile"] = f"WITH {MIXED} " + " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CAST(min({c}) AS VARCHAR) AS min_value,
       CAST(max({c}) AS VARCHAR) AS max_value FROM mixed"""

@@ -3,7 +3,8 @@
 Layout: ``data/_version=N/*.parquet`` and, written after the data, ``commits/version=N/*.json`` with
 the operation, the schema and the write's metrics. Readers only use committed versions, so a failed
 write stays invisible. ``append`` adds to what is visible; ``overwrite`` hides everything before it
-but keeps the files, which is what makes older versions readable.
+but keeps the files, which is what makes older versions readable until ``vacuum`` removes them. A
+commit lists the versions visible at it and their merged schema, so a reader opens one record.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricewatch.session import drop_folder
+
 COMMIT = (
     "version int, committed_at timestamp, operation string, mode string, parameters string, "
-    "schema_json string, metrics map<string,string>, batch_id bigint"
+    "schema_json string, metrics map<string,string>, batch_id bigint, visible array<int>, last_batch bigint"
 )
 
 
@@ -38,35 +41,38 @@ class SnapshotTable:
         """One row per committed version."""
         try:
             return self.spark.read.schema(COMMIT).json(f"{self.path}/commits")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], COMMIT)
 
-    def _log(self) -> list:
-        return sorted(self.history().select("version", "mode", "schema_json", "batch_id").collect())
-
     def versions(self) -> list[int]:
-        return [row.version for row in self._log()]
+        """All readable versions, for inspection; reading and writing look at one commit only."""
+        return sorted(row.version for row in self.history().select("version").collect())
+
+    def _latest(self) -> int | None:
+        return self.history().agg(F.max("version").alias("version")).first().version
 
     def latest_version(self) -> int:
-        versions = self.versions()
-        if not versions:
+        version = self._latest()
+        if version is None:
             raise ValueError(f"no committed version in {self.path}")
-        return versions[-1]
+        return version
+
+    def _commit(self, version: int):
+        """The record of one version, or None."""
+        rows = self.history().filter(F.col("version") == version).select("visible", "schema_json", "last_batch").take(1)
+        return rows[0] if rows else None
 
     # -- read -------------------------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version (default: the latest). Only its own folders are listed and read."""
-        log = self._log()
-        known = [row.version for row in log]
-        version = (known[-1] if known else None) if version is None else version
-        if version not in known:
-            raise ValueError(f"version {version} is not among {known} in {self.path}")
-        upto = [row for row in log if row.version <= version]
-        start = max([row.version for row in upto if row.mode == "overwrite"], default=known[0])
-        visible = [row for row in upto if row.version >= start]
-        schema = _merged([T.StructType.fromJson(json.loads(row.schema_json)) for row in visible])
+        commit = self._commit(self.latest_version() if version is None else version)
+        if commit is None:
+            raise ValueError(f"version {version} is not in {self.path}")
+        schema = T.StructType.fromJson(json.loads(commit.schema_json))
         columns = list(schema.names)
-        folders = [f"{self.path}/data/_version={row.version}" for row in visible]
+        folders = [f"{self.path}/data/_version={v}" for v in commit.visible]
         reader = self.spark.read.schema(schema.add("_version", T.IntegerType()))
         return reader.option("basePath", f"{self.path}/data").parquet(*folders).select(*columns)
 
@@ -89,11 +95,25 @@ class SnapshotTable:
 
     def done(self, batch_id: int) -> bool:
         """Whether a streaming batch has been committed already (it may be replayed)."""
-        return any(row.batch_id == batch_id for row in self._log())
+        latest = self._latest()
+        last = None if latest is None else self._commit(latest).last_batch
+        return last is not None and last >= batch_id
+
+    def vacuum(self, keep: int) -> None:
+        """Remove the files of versions that none of the ``keep`` newest versions shows."""
+        newest = sorted(self.versions())[-keep:]
+        shown = {v for version in newest for v in self._commit(version).visible}
+        for version in range(min(shown, default=0)):
+            drop_folder(self.spark, f"{self.path}/commits/version={version}")
+            drop_folder(self.spark, f"{self.path}/data/_version={version}")
 
     def _write(self, df: DataFrame, mode: str, operation: str, parameters: str, batch_id: int | None) -> int:
-        versions = self.versions()
-        version = versions[-1] + 1 if versions else 0
+        latest = self._latest()
+        before = None if latest is None else self._commit(latest)
+        version = 0 if latest is None else latest + 1
+        kept = before if before and mode == "append" else None
+        schema = _merged([T.StructType.fromJson(json.loads(kept.schema_json)), df.schema] if kept else [df.schema])
+        last_batch = batch_id if batch_id is not None else before.last_batch if before else None
         seen = Observation(f"write-{uuid.uuid4().hex}")
         writer = df.observe(seen, *_metrics(self.stats)).write.mode("overwrite").partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/data/_version={version}")
@@ -105,9 +125,11 @@ class SnapshotTable:
             F.lit(operation).alias("operation"),
             F.lit(mode).alias("mode"),
             F.lit(parameters).alias("parameters"),
-            F.lit(df.schema.json()).alias("schema_json"),
+            F.lit(schema.json()).alias("schema_json"),
             F.create_map(*pairs).alias("metrics"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.array(*[F.lit(v) for v in [*(kept.visible if kept else []), version]]).alias("visible"),
+            F.lit(last_batch).cast("bigint").alias("last_batch"),
         )
         commit.write.mode("overwrite").json(f"{self.path}/commits/version={version}")
         return version

@@ -14,6 +14,7 @@ from pricewatch.operators.alerts import ALERT_COLUMNS, classify_changes, with_pr
 from pricewatch.operators.dedup import keep_one
 from pricewatch.operators.enrich import add_provenance
 from pricewatch.operators.slices import newest_per_key
+from pricewatch.session import drop_folder
 from pricewatch.sinks import live
 from pricewatch.sources.snapshots import SnapshotTable
 
@@ -169,6 +170,8 @@ def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, **li
             }
             for name, out in outputs.items():
                 out.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+            # A replay of this batch needs the state before it; older states are not read again.
+            drop_folder(spark, f"{path}/state/batch={batch_id - 2}")
         finally:
             marked.unpersist()
 
