@@ -97,4 +97,22 @@ SQL: dict[str, str] = {
                CASE WHEN keep_id <> page_id THEN keep_id END AS refers_to,
                CASE WHEN keep_id <> page_id THEN NULL ELSE true END AS intact
         FROM p LEFT JOIN g USING (html)""",
+    "op4_decontamination": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+             i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+             sized AS (SELECT item_id, w, least(13, len(w)) AS k FROM i WHERE len(w) > 0),
+             windows AS (SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS g
+                         FROM (SELECT *, unnest(generate_series(1, len(w) - k + 1)) AS p FROM sized)),
+             sizes AS (SELECT DISTINCT k FROM windows),
+             grams AS (SELECT doc_id, k, p, array_to_string(w[p : p + k - 1], ' ') AS g
+                       FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d, sizes WHERE len(w) >= k)),
+             hits AS (SELECT doc_id, item_id, k, p FROM grams JOIN windows USING (k, g)),
+             places AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS q FROM hits) GROUP BY doc_id),
+             items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+                       FROM hits GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
