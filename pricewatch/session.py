@@ -41,7 +41,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _folder(spark, path)
+    return store.exists(target)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of any store that Spark reaches; none is fine."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    store, target = _folder(spark, path)
+    store.delete(target, True)

@@ -12,12 +12,11 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricewatch.session import drop_folder
+from pricewatch.session import drop_folder, folder_exists
 
 COMMIT = (
     "version int, committed_at timestamp, operation string, mode string, parameters string, "
@@ -39,12 +38,9 @@ class SnapshotTable:
     # -- commit log -------------------------------------------------------------------------
     def history(self) -> DataFrame:
         """One row per committed version."""
-        try:
-            return self.spark.read.schema(COMMIT).json(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not folder_exists(self.spark, f"{self.path}/commits"):
             return self.spark.createDataFrame([], COMMIT)
+        return self.spark.read.schema(COMMIT).json(f"{self.path}/commits")
 
     def versions(self) -> list[int]:
         """All readable versions, for inspection; reading and writing look at one commit only."""
