@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricewatch.functions import times
 from pricewatch.operators import alerts, clean, correlate, enrich, volatility
 from pricewatch.sinks import documents
 from pricewatch.sources.snapshots import SnapshotTable
@@ -69,7 +70,7 @@ class Lakehouse:
         return self.table("gold", "volatility").update(F.col("status") == "CRITICAL", {"status": F.lit(status)})
 
     def export(self) -> DataFrame:
-        return export_document(*[self.table("gold", name).read() for name in documents.EXPORT_LIMITS])
+        return export_document(*[self.table("gold", name).read() for name in documents.EXPORT_LIMITS], source=self.root)
 
 
 EXPORT_ORDER = {
@@ -89,9 +90,12 @@ def export_sections(*tables: DataFrame) -> dict[str, tuple[DataFrame, list, int]
     return out
 
 
-def export_document(*tables: DataFrame) -> DataFrame:
-    """The four gold tables as one JSON document."""
-    sections = {
+def export_document(*tables: DataFrame, generated_at: Column | None = None, source: str = "gold", pipeline: str = "price-monitor") -> DataFrame:
+    """The four gold tables as one JSON document, with when, from what and by which pipeline it was made."""
+    at = generated_at if generated_at is not None else times.iso_text(F.current_timestamp().cast("timestamp_ntz"))
+    meta = F.struct(at.alias("generated_at"), F.lit(source).alias("source"), F.lit(pipeline).alias("pipeline"))
+    sections = {"metadata": tables[0].sparkSession.range(1).select(meta.alias("metadata"))}
+    sections |= {
         name: documents.rows_as_array(documents.iso_times(table), order, n)
         for name, (table, order, n) in export_sections(*tables).items()
     }

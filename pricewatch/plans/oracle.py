@@ -426,6 +426,7 @@ SQL["dashboard_payload"] = f"""WITH {TICKS}, {MIXED} SELECT CAST(to_json({{'serv
   'status': {{'analyses_ok': true, 'live_ok': true, 'news_ok': true}}}}) AS VARCHAR) AS document"""
 DAY = "strftime(obs_date, '%Y-%m-%d')"
 SQL["export_document"] = f"""WITH {TICKS}, {DAILY}, {NEWS} SELECT CAST(to_json({{
+  'metadata': {{'generated_at': '2024-02-01T00:00:00', 'source': 'gold', 'pipeline': 'price-monitor'}},
   'volatility': {rows(cv('ticks'), "commodity; mean_price; stddev_price; min_price; max_price; n_obs; cv_index; status", "cv_index DESC, commodity", 50)},
   'trend': {rows(TREND, f"commodity; obs_date={DAY}; hour; dow; avg_price; min_price; max_price; n_obs", "commodity, obs_date, hour", 100)},
   'alert': {rows(alerts('daily', 'event_time'), f"commodity; price; prev_price; pct_change; direction; status; obs_date={DAY}; hour; event_time=strftime(event_time, {ISO})", "pct_change DESC, commodity, event_time", 50)},

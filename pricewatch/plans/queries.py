@@ -588,7 +588,7 @@ def export_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def export_document(spark: SparkSession, sf: str) -> DataFrame:
-    return lakehouse.export_document(*_gold(spark, sf))
+    return lakehouse.export_document(*_gold(spark, sf), generated_at=_at())
 
 
 # -- versioned tables -------------------------------------------------------------------------

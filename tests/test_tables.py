@@ -150,6 +150,7 @@ def test_dashboard_payload(spark):
 
 def test_export_document(spark):
     doc = json.loads(queries.export_document(spark, SF).first().document)
+    assert doc.pop("metadata") == {"generated_at": "2024-02-01T00:00:00", "source": "gold", "pipeline": "price-monitor"}
     assert {k: len(v) <= documents.EXPORT_LIMITS[k] for k, v in doc.items()} == dict.fromkeys(documents.EXPORT_LIMITS, True)
     assert doc["alert"][0]["event_time"].endswith("T00:00:00.000000")
 
@@ -203,7 +204,7 @@ def test_lakehouse(spark):
     n_critical = gold.read(before).filter("status = 'CRITICAL'").count()
     assert changed.count() == n_critical > 0
     doc = json.loads(house.export().first().document)
-    assert list(doc) == list(documents.EXPORT_LIMITS)
+    assert list(doc) == ["metadata", *documents.EXPORT_LIMITS]
 
 
 def test_envelopes(spark):
