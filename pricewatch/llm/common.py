@@ -64,6 +64,13 @@ def pick_rows(docs: DataFrame, id_col: str, key: Column, keepers: DataFrame) ->
     return of(F.col("keep_rows") == 1).unionByName(repeated).select(*names(docs))
 
 
+def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """All of ``rows`` if they are at most ``n``, else about ``n`` by a hash of the key: no sort, and no
+    task sends more than its share."""
+    share = min(1.0, n / max(1, rows.count()))
+    return rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; null ids fall into fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))

@@ -6,7 +6,7 @@ labelled sample calibrates how much more often each pair of lengths occurs in to
 sum of the logarithms over its distinct windows that speak clearly for toxicity. The threshold is calibrated on the sample too
 and lies at a score of ``ACCEPT``.
 
-Labels are read from a bounded sample: at most ``FIT_ROWS`` rows of each class, in the order of a hash of their ids, up to
+Labels are read from a bounded sample: about ``FIT_ROWS`` rows of each class at most, by a hash of their ids, up to
 ``FIT_BYTES`` of text. Everything else covers all rows and whole texts.
 
 Defined cases: a null text counts as empty and scores like a text without evidence; without a toxic label in the sample all
@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewatch.llm.common import fold, fresh, names, utf8
+from pricewatch.llm.common import bounded_sample, fold, fresh, names, utf8
 
 FIT_ROWS = 4_000
 FIT_BYTES = 16_000_000
@@ -173,10 +173,11 @@ def _calibrate(model: Model, rows: list[tuple[bytes, int]]) -> Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> list[tuple[bytes, int]]:
-    """At most ``fit_rows`` rows of each class outside the held-out fold, in the order of a hash of the id."""
+    """About ``fit_rows`` rows of each class at most, outside the held-out fold, in the order of a hash of the id."""
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("fit_id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter("fit_id is not null and label in (0, 1)")
     known = known.filter(fold(F.col("fit_id"), FOLDS) != HELD_OUT).withColumn("at", F.xxhash64("fit_id"))
-    picked = [r for k in (0, 1) for r in known.filter(F.col("label") == k).dropDuplicates(["fit_id"]).orderBy("at", "fit_id").limit(fit_rows).collect()]
+    known = known.dropDuplicates(["fit_id", "label"])
+    picked = [r for k in (0, 1) for r in bounded_sample(known.filter(F.col("label") == k), "fit_id", fit_rows).collect()]
     spark = docs.sparkSession
     chosen = spark.createDataFrame([(r.fit_id, r.label, r.at) for r in picked], "fit_id long, label int, at long")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("fit_id"), utf8(F.col(f"`{text_col}`")).alias("text"))
