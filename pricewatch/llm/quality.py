@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewatch.llm.common import fold, stored, utf8
+from pricewatch.llm.common import bounded_sample, fold, stored, utf8
 
-#: Labelled rows of each class that the classifier is fitted on, at most.
-FIT_ROWS = 20_000
+#: Labelled rows of each class that the classifier is fitted on, at most (about).
+FIT_ROWS = 5_000
 FOLDS, HELD_OUT = 3, 1
 KEEP = 0.5
 RIDGE, ROUNDS = 1e-2, 25
@@ -102,8 +102,9 @@ def measured(docs: DataFrame, id_col: str, text_col: str, host: Column, path: Co
 
 
 def _sample(rows: DataFrame, fit_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Measures and labels of at most ``fit_rows`` training rows of each class, in the order of a hash of the id."""
-    picked = [r for k in (0, 1) for r in rows.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").select("x", "label").limit(fit_rows).collect()]
+    """Measures and labels of about ``fit_rows`` training rows of each class at most, in the order of the id."""
+    picked = [r for k in (0, 1) for r in bounded_sample(rows.filter(F.col("label") == k), "doc_id", fit_rows).select("doc_id", "x", "label").collect()]
+    picked.sort(key=lambda r: (r.label, r.doc_id, r.x))
     return np.array([r.x for r in picked]).reshape(-1, len(MEASURES)), np.array([r.label for r in picked], dtype=float)
 
 
