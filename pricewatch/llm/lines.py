@@ -1,9 +1,12 @@
 """Line dedup: units of text are normalised, their digests grouped over all documents, and repeats are removed.
 
 A unit is a line. Lines are cut further after anchor words, whose hash is the least among the words around them, so that a
-passage inside a longer line falls into the same units wherever it stands. Units of fewer than ``min_words`` words are never
-repeats. Normalising lower-cases A-Z and joins the words with single spaces. Of equal units the earliest stays: that of the
-smallest document id, and in it the first. The others are removed; their offsets in the original text are kept.
+passage inside a longer line falls into the same units wherever it stands. Anchors are more than ``reach`` words apart, so only
+the first and the last piece of a line can be shorter than ``min_words``. Such a piece repeats with its whole line, whose digest
+it takes, and a line without any longer piece is one unit, however short. So a repeated line is always found as a whole, and a
+repeated passage by its pieces of at least ``min_words`` words. Normalising lower-cases A-Z and joins the words with single
+spaces. Of equal units the earliest stays: that of the smallest document id, and in it the first. The others are removed; their
+offsets in the original text are kept.
 
 The digests of a document's first occurrences are grouped with partial sums (a document counts once, later occurrences inside
 it are repeats anyway), so a line that is in a third of all documents crosses the network a few times for each task.
@@ -52,7 +55,7 @@ def _word_hashes(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
 
 
 def units(text: bytes, min_words: int = MIN_WORDS, reach: int = REACH) -> list[tuple[bytes, int, int, int, int]]:
-    """(digest, number, first character, end character, words) of each unit with enough words, in order."""
+    """(digest, number, first character, end character, words) of each unit, in order; together they hold every word once."""
     raw = _LOWER[np.frombuffer(text, dtype=np.uint8)]
     space = np.concatenate([[True], _SPACE[raw], [True]])
     start = np.flatnonzero(space[:-1] & ~space[1:])
@@ -66,14 +69,25 @@ def units(text: bytes, min_words: int = MIN_WORDS, reach: int = REACH) -> list[t
         other = line[d:] != line[:-d]
         anchor[d:] &= other | (h[d:] < h[:-d])
         anchor[:-d] &= other | (h[:-d] <= h[d:])
-    ends = np.flatnonzero(anchor | np.append(line[1:] != line[:-1], True))
+    last = np.append(line[1:] != line[:-1], True)
+    ends = np.flatnonzero(anchor | last)
     begins = np.concatenate([[0], ends[:-1] + 1])
+    # The first and the last piece of each piece's line; a line without a piece of enough words is one piece.
+    closing = np.flatnonzero(last[ends])
+    opening = np.concatenate([[0], closing[:-1] + 1])
+    whole = np.maximum.reduceat(ends + 1 - begins, opening) < min_words
+    row = np.repeat(np.arange(len(opening)), closing + 1 - opening)
+    first, final = begins[opening][row], ends[closing][row]
+    kept = ~whole[row] | (begins == first)
+    begins, ends, first, final = begins[kept], np.where(whole[row], final, ends)[kept], first[kept], final[kept]
     character = np.concatenate([[0], np.cumsum(raw & 0xC0 != 0x80)])
     low, out = raw.tobytes(), []
-    for k, (a, b) in enumerate(zip(begins.tolist(), ends.tolist(), strict=True)):
-        if b + 1 - a >= min_words:
+    for k, (a, b, f, g) in enumerate(zip(begins.tolist(), ends.tolist(), first.tolist(), final.tolist(), strict=True)):
+        if b + 1 - a >= min_words or (a == f and b == g):
             words = b" ".join(low[start[a] : stop[b]].split())
-            out.append((xxhash.xxh3_128_digest(words), k, int(character[start[a]]), int(character[stop[b]]), b + 1 - a))
+        else:  # words hold no line end, so no other unit has this digest
+            words = (b"\nfirst " if a == f else b"\nlast ") + b" ".join(low[start[f] : stop[g]].split())
+        out.append((xxhash.xxh3_128_digest(words), k, int(character[start[a]]), int(character[stop[b]]), b + 1 - a))
     return out
 
 

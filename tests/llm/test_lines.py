@@ -51,6 +51,29 @@ def test_repeats_against_brute_force(docs):
     assert sorted(((r.doc_id, r.unit, r.start, r.stop, r.n_words, r.keep_doc_id) for r in got), key=str) == brute(rows)
 
 
+def test_repeated_lines_go_whole(docs):
+    rng = random.Random(12)
+    pool = [passage(rng, n) for n in [*range(1, 31)] * 6]
+    rows = [(i, "\n".join(line.upper() if rng.random() < 0.2 else line for line in rng.sample(pool, 20))) for i in range(40)]
+    # Brute force: of equal whole lines the earliest stays, the others go with all their words.
+    seen, want = set(), {}
+    for i, text in rows:
+        want[i] = []
+        for line in text.split("\n"):
+            want[i].append("" if line.lower() in seen else line)
+            seen.add(line.lower())
+    got = {r.doc_id: [" ".join(x.split()) for x in r.text.split("\n")] for r in lines.remove(docs(*rows)).collect()}
+    assert got == want
+
+
+def test_short_ends_stay_with_a_line_that_stands_once():
+    rng = random.Random(13)
+    for _ in range(200):
+        line, other = passage(rng, 40), passage(rng, 40)
+        ends = {d for d, *_, n in lines.units(line.encode()) if n < lines.MIN_WORDS}
+        assert not ends & {d for d, *_ in lines.units(f"{line} {other}\n{other} {line}".encode())}
+
+
 def test_removal(docs):
     a, b = "this line is in several documents", "and this one stands here only once"
     rows = [(1, f"{a}\n{b}"), (2, f"é {b} x\n{a.upper()}\nend"), (3, None), (4, f"{a}\n{a}"), (4, f"{a}\n{a}"), (None, a)]
