@@ -6,7 +6,9 @@ rare ones, and those whose share of good labelled pages does not differ signific
 merge into a wildcard branch, the others stay branches of their own. A template's purity is its share of good labels, shrunk
 towards the host's share, which is shrunk towards the global one; templates under ``least_purity`` are blocked.
 
-The tree is built on counts per distinct generalised path, never on single pages.
+The tree is built on counts per distinct generalised path, never on single pages, down to the deepest level at which two of
+them share a template prefix. A path that has ended leaves the loop, and so does one that is alone below its prefix: its branches
+are compared with themselves only, so all of them are wildcards.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and is judged by the template of those; a template
 without labels takes its host's share; repeated pages are judged each; an empty table gives an empty result.
@@ -18,12 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewatch.llm.common import ascii_lower, fresh, names, stored
+from pricewatch.session import new_dir
 
 #: The rules to judge by (verdict, rule).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 LEAST_PAGES, LEAST_Z, STRENGTH, LEAST_PURITY = 5, 1.96, 10.0, 0.5
-#: Segments below this depth form one wildcard tail.
-DEPTH = 8
 
 
 def host_of(url: Column) -> Column:
@@ -51,10 +52,14 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """The path's segments with numbers as wildcards, at most DEPTH and a tail."""
+    """The path's segments with numbers as wildcards."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    shaped = F.transform(parts, lambda s: F.regexp_replace(s, "[0-9]+", "*"))
-    return F.when(F.size(shaped) > DEPTH, F.concat(F.slice(shaped, 1, DEPTH), F.array(F.lit("**")))).otherwise(shaped)
+    return F.transform(parts, lambda s: F.regexp_replace(s, "[0-9]+", "*"))
+
+
+def _wild(segment: Column) -> Column:
+    """The wildcard branch; an extension tells kinds of pages apart by itself, so it is kept."""
+    return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z]+)$", 1))
 
 
 def _sums() -> list[Column]:
@@ -63,23 +68,28 @@ def _sums() -> list[Column]:
 
 def templates(paths: DataFrame, strength: float = STRENGTH, least_pages: int = LEAST_PAGES, least_z: float = LEAST_Z) -> DataFrame:
     """host, segments, template, purity for counts (host, segments, n, labelled, good) per generalised path."""
-    tree = stored(paths.withColumn("template", F.lit("")), "url-tree")
-    depth = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(depth):
-        child = F.try_element_at("segments", F.lit(level + 1))
-        here = tree.withColumn("child", child)
-        branches = stored(here.filter("child is not null").groupBy("host", "template", "child").agg(*_sums()), "url-branches")
+    columns, path, level = ["host", "segments", "n", "labelled", "good", "template"], new_dir(paths.sparkSession, "url-leaves"), 0
+    tree = stored(paths.withColumn("template", F.lit("")).select(*columns), "url-tree")
+    while True:
+        deeper = F.size("segments") > level
+        several = tree.filter(deeper).groupBy("host", "template").agg((F.count(F.lit(1)) > 1).alias("several"))
+        marked = stored(tree.join(several, ["host", "template"], "left").withColumn("on", deeper & F.col("several")), "url-marked")
+        rest = F.transform(F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0))), _wild)
+        left = marked.filter(~F.col("on")).withColumn("template", F.concat_ws("/", F.array("template"), rest))
+        left.select(*columns).write.mode("append").parquet(path)
+        here = marked.filter("on").select(*columns, F.element_at("segments", level + 1).alias("child"))
+        if here.isEmpty():
+            break
+        branches = stored(here.groupBy("host", "template", "child").agg(*_sums()), "url-branches")
         parents = branches.groupBy("host", "template").agg(*(F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "good")))
         rate = (F.col("all_good") + 1) / (F.col("all_labelled") + 2)
         z = F.abs(F.col("good") - F.col("labelled") * rate) / F.sqrt(F.col("labelled") * rate * (1 - rate) + 1e-9)
         apart = (F.col("n") >= least_pages) & (F.col("labelled") >= least_pages) & (z >= least_z)
-        # An extension tells kinds of pages apart by itself, so a wildcard keeps it.
-        wild = F.concat(F.lit("*"), F.regexp_extract("child", r"(\.[A-Za-z]+)$", 1))
-        named = branches.join(parents, ["host", "template"]).select("host", "template", "child", F.when(apart, F.col("child")).otherwise(wild).alias("branch"))
-        named = stored(named, "url-names")
-        tree = here.join(named, ["host", "template", "child"], "left")
-        tree = tree.withColumn("template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", "branch")))
-        tree = stored(tree.select("host", "segments", "n", "labelled", "good", "template"), "url-tree")
+        branch = F.when(apart, F.col("child")).otherwise(_wild(F.col("child")))
+        named = stored(branches.join(parents, ["host", "template"]).select("host", "template", "child", branch.alias("branch")), "url-names")
+        tree = here.join(named, ["host", "template", "child"]).withColumn("template", F.concat_ws("/", "template", "branch"))
+        tree, level = stored(tree.select(*columns), "url-tree"), level + 1
+    tree = paths.sparkSession.read.schema(tree.schema).parquet(path)
     total = tree.agg(F.sum("good").alias("g"), F.sum("labelled").alias("l")).first()
     overall = ((total.g or 0) + 1) / ((total.l or 0) + 2)
     hosts = tree.groupBy("host").agg(((F.sum("good") + strength * overall) / (F.sum("labelled") + strength)).alias("host_purity"))

@@ -52,6 +52,20 @@ def test_templates_split_only_where_purity_differs(spark):
     assert rows[2000].verdict == "allow"
 
 
+def test_branches_below_a_deep_prefix_are_compared(spark):
+    deep, pages, labels = "/".join("abcdefghijk"), [], []
+    for i in range(200):
+        branch = ("spam", "news")[i % 2]
+        pages.append((i, f"https://site.com/{deep}/{branch}/{i}.html"))
+        labels.append((i, i % 2, 0))
+    pages += [(1000, f"https://alone.com/{deep}/x9.html"), (1001, "https://alone.com/")]
+    out = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    rows = {r.page_id: r for r in out.collect()}
+    assert {rows[i].verdict for i in range(0, 200, 2)} == {"block"} and {rows[i].verdict for i in range(1, 200, 2)} == {"allow"}
+    assert rows[0].template == "/*" * 11 + "/spam/*.html"
+    assert rows[1000].template == "/*" * 11 + "/*.html" and rows[1001].template == ""
+
+
 def test_empty(spark):
     out = urls.judge(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert out.count() == 0
