@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import attention_lm, decontaminate, exact_dedup, lines, packing, quality, simhash, toxicity, urls, warc_zip
+from pricewatch.llm import attention_lm, decontaminate, exact_dedup, hard_negatives, lexical, lines, packing, quality, simhash, toxicity, urls, warc_zip
 from pricewatch.llm.common import fold, table
 
 
@@ -79,7 +79,18 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op5_attention_lm, op6_toxicity, op7_simhash, op8_line_dedup, op9_quality_bayes, op10_url_templates)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, under labels of which a seventh are moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op5_attention_lm, op6_toxicity, op7_simhash, op8_line_dedup, op9_quality_bayes, op10_url_templates, op11_lexical_search, op13_hard_negatives)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
@@ -115,4 +126,28 @@ SQL: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_lexical_search": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+             i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+             s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+             f AS (SELECT r, doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+             g AS (SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS wt FROM f, s GROUP BY t),
+             p AS (SELECT r, doc_id, t, wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS x FROM f JOIN g USING (t), s),
+             z AS (SELECT item_id, r, doc_id, sum(x)::BIGINT AS score FROM p JOIN i USING (t) GROUP BY item_id, r, doc_id HAVING sum(x) > 0),
+             o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM z)
+        SELECT * FROM o WHERE rank <= 50""",
+    "op13_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             p AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
+                   FROM e a, e b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+             pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM p WHERE same) WHERE k <= 5),
+             neg AS (SELECT pos.anchor_id, pos.vec_id AS positive_id, p.vec_id AS negative_id, pos.score AS positive_score, p.score AS negative_score,
+                            row_number() OVER (PARTITION BY pos.anchor_id, pos.vec_id ORDER BY p.score DESC, p.vec_id)::INTEGER AS rank
+                     FROM pos JOIN p ON p.anchor_id = pos.anchor_id AND NOT p.same AND 50 * pos.score <= 100 * p.score AND 100 * p.score <= 95 * pos.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3""",
 }
