@@ -88,7 +88,8 @@ def best(found: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np
 def _block(anchors: pa.Table, rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids and labels of both sides and their scores; rows in the order of their ids."""
     anchors, rows = anchors.combine_chunks(), rows.sort_by("vec_id").combine_chunks()
-    sides = [(t.column("vec_id").to_numpy(), t.column("label").to_numpy(), t.column("v").combine_chunks()) for t in (anchors, rows)]
+    names = (("anchor_id", "anchor_label", "anchor_v"), ("vec_id", "label", "v"))
+    sides = [(t.column(i).to_numpy(), t.column(c).to_numpy(), t.column(v).combine_chunks()) for t, (i, c, v) in zip((anchors, rows), names, strict=True)]
     width = max((int(v.value_lengths().to_numpy(zero_copy_only=False).max(initial=0)) for _, _, v in sides), default=0)
     (a_id, a_label, a_v), (r_id, r_label, r_v) = sides
     return a_id, a_label, r_id, r_label, scores(_matrix(a_v, width), _matrix(r_v, width))
@@ -123,9 +124,9 @@ def _slotted(anchors: pa.Table, rows: pa.Table) -> pa.Table:
 def _meet(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, fn) -> DataFrame:
     """``fn`` on every block of anchors with every group of rows, both bounded."""
     blocks, groups = -(-n_anchors // ANCHORS) or 1, -(-n_rows // ROWS) or 1
-    left = anchors.withColumn("b", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks).cast("long"))).withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    left = anchors.withColumn("b_", F.pmod(F.xxhash64("anchor_id", F.lit(1)), F.lit(blocks).cast("long"))).withColumn("g_", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     right = rows.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(groups).cast("long"))).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    return left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInArrow(fn, _FOUND)
+    return left.groupBy("b_", "g_").cogroup(right.groupBy("b", "g")).applyInArrow(fn, _FOUND)
 
 
 def _first(found: DataFrame, k: int) -> DataFrame:
@@ -143,14 +144,14 @@ def positives(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int)
 
 
 def limits(found: DataFrame) -> DataFrame:
-    """vec_id (the anchor), limits: the distinct upper limits of its windows, highest first."""
+    """anchor_id, limits: the distinct upper limits of its windows, highest first."""
     exact = F.expr(f"cast(floor(cast(score as decimal(20, 0)) * {HIGH} / 100) as long)")
-    return found.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.sort_array(F.collect_set(exact), asc=False).alias("limits"))
+    return found.groupBy("anchor_id").agg(F.sort_array(F.collect_set(exact), asc=False).alias("limits"))
 
 
 def slot_tops(anchors: DataFrame, rows: DataFrame, found: DataFrame, n_anchors: int, n_rows: int) -> DataFrame:
     """anchor_id, slot, score, vec_id, rank: each slot's best rows of other labels."""
-    return _first(_meet(anchors.join(limits(found), "vec_id"), rows, n_anchors, n_rows, _slotted), NEGATIVES)
+    return _first(_meet(anchors.join(limits(found), "anchor_id"), rows, n_anchors, n_rows, _slotted), NEGATIVES)
 
 
 def merge_windows(pos: list[tuple[int, int]], slots: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int, int, int, int]]:
@@ -193,7 +194,7 @@ _ANSWER = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score",
 def mine(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Hard negatives of the rows for which ``is_anchor`` (over vec_id and label) holds, among all rows."""
     rows = stored(prepare(rows, id_col, vector_col, label_col), "vectors")
-    anchors = rows.filter(is_anchor)
+    anchors = rows.filter(is_anchor).select(*(F.col(c).alias(a) for c, a in (("vec_id", "anchor_id"), ("label", "anchor_label"), ("v", "anchor_v"))))
     n_rows, n_anchors = rows.count(), anchors.count()
     found = stored(positives(anchors, rows, n_anchors, n_rows), "positives")
     return answers(found, stored(slot_tops(anchors, rows, found, n_anchors, n_rows), "slots"))

@@ -140,9 +140,9 @@ SQL: dict[str, str] = {
         SELECT * FROM o WHERE rank <= 50""",
     "op13_hard_negatives": """
         WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                          list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+                          [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
                    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
              p AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
                    FROM e a, e b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
              pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM p WHERE same) WHERE k <= 5),
