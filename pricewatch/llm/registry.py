@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import attention_lm, decontaminate, exact_dedup, hard_negatives, lexical, lines, packing, quality, simhash, toxicity, urls, warc_zip
+from pricewatch.llm import attention_lm, decontaminate, exact_dedup, hard_negatives, lexical, lines, packing, quality, simhash, substrings, toxicity, urls, warc_zip
 from pricewatch.llm.common import fold, table
 
 
@@ -84,13 +84,20 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the strings of 400 bytes that stand elsewhere too."""
+    out = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.length)
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.lower(F.hex("kept_digest")).alias("kept_sha256"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector, under labels of which a seventh are moved on."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op5_attention_lm, op6_toxicity, op7_simhash, op8_line_dedup, op9_quality_bayes, op10_url_templates, op11_lexical_search, op13_hard_negatives)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc_zip, op3_best_fit_packing, op4_decontamination, op5_attention_lm, op6_toxicity, op7_simhash, op8_line_dedup, op9_quality_bayes, op10_url_templates, op11_lexical_search, op12_suffix_dedup, op13_hard_negatives)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
