@@ -263,6 +263,8 @@ def rank(docs: DataFrame, items: DataFrame, k: int = BEST, id_col: str = "doc_id
     for b in range(blocks):
         mine = asked.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).groupBy("item_id").agg(F.collect_list("term").alias("terms"))
         items_here = sorted(((r.item_id, sorted(map(bytes, r.terms))) for r in mine.collect()), key=lambda x: (x[0] is None, x[0] or 0))
+        if not items_here:
+            continue
         found = search_block(docs, items_here, k, id_col, text_col)
         names = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(items_here)], "item int, item_id long")
         out = out.union(stored(_ranked(found, k), "ranked").join(names, "item").select("item_id", "rank", F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"), "score"))
