@@ -388,7 +388,8 @@ def starts(texts: DataFrame) -> DataFrame:
     if hot.isEmpty():
         return merged
     windows = stored(digests(with_units(texts, found.join(hot, "gram", "left_semi"))), "hot-windows")
-    again = windows.join(several(windows, "window", ["text_id", "first"]), "window")
+    # Written before the union, so that Spark splits the windows of a hot digest in the join.
+    again = stored(windows.join(several(windows, "window", ["text_id", "first"]), "window").select("text_id", "first"), "hot-repeats")
     return merged.union(again.select("text_id", "first", F.col("first").alias("last")))
 
 
