@@ -22,4 +22,3 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-SF = "/root/testdata/sf0.001"

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF
+from settings import SF
 from pricewatch.plans import oracle, queries
 from tools.check import compare, connect
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF
+from settings import SF
 from pricewatch.plans import queries as q
 
 
