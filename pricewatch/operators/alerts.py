@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewatch import dims
@@ -21,18 +21,18 @@ def with_previous(prices: DataFrame, keep: tuple[str, ...] = ("hour",), **limits
     return sliced_window(rows, ["commodity"], ORDER, 1, exprs, **limits)
 
 
-def classify_changes(df: DataFrame, threshold: float = dims.ALERT_PCT) -> DataFrame:
-    """Keep the significant changes among rows that have a previous price.
+def classify_changes(df: DataFrame, threshold: float = dims.ALERT_PCT, keep: Column | None = None) -> DataFrame:
+    """The significant changes, and the rows that ``keep`` names.
 
-    The threshold is compared with the rounded percentage.
+    A change is significant if its rounded percentage, without its sign, exceeds the threshold. The sign is the direction. A row
+    without a previous price has no percentage and no change.
     """
     pct = F.col("pct_change")
+    wanted = F.abs(pct) > threshold
     return (
-        df.withColumn("pct_change", numbers.change_pct(F.col("price"), F.col("prev_price")))
-        .filter(F.col("prev_price").isNotNull() & pct.isNotNull())
-        .withColumns({"direction": classes.direction(pct), "status": classes.alert_status(pct, threshold)})
-        .filter(F.col("status") != "NORMAL")
-        .withColumn("obs_date", F.to_date("event_time"))
+        df.select("*", numbers.change_pct(F.col("price"), F.col("prev_price")).alias("pct_change"))
+        .filter(wanted if keep is None else wanted | keep)
+        .select("*", classes.direction(pct).alias("direction"), classes.alert_status(pct, threshold).alias("status"), F.to_date("event_time").alias("obs_date"))
     )
 
 

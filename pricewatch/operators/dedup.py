@@ -10,13 +10,17 @@ def keep_one(df: DataFrame, keys: list[str], prefer: list[Column] | None = None)
     """One row per key; null keys count as equal.
 
     ``prefer`` decides the survivor, then the columns that are no text, then the digests of the
-    texts, so that no text is compared or carried as a sort key. The rank filter is also applied
+    texts, so that no text is compared or carried as a sort key. Last comes which texts are absent rather than
+    empty, and nested columns as JSON. The rank filter is also applied
     before the shuffle, so a key with very many copies leaves at most one row per task.
     """
     kinds = {c: t for c, t in df.dtypes if c not in keys}
-    short = [F.col(c).asc_nulls_last() for c, t in kinds.items() if t != "string"]
+    nested = [c for c, t in kinds.items() if t.startswith(("map", "array", "struct"))]
+    short = [F.col(c).asc_nulls_last() for c, t in kinds.items() if t != "string" and c not in nested]
     texts = [c for c, t in kinds.items() if t == "string"]
     digest = [F.md5(F.concat_ws("\x1f", *[F.md5(F.coalesce(c, F.lit(""))) for c in texts])).asc()] if texts else []
+    rest = [F.col(c).isNull().cast("string") for c in texts] + [F.coalesce(F.md5(F.to_json(c)), F.lit("")) for c in nested]
+    digest += [F.concat_ws("\x1f", *rest).asc()] if rest else []
     window = Window.partitionBy(*keys).orderBy(*(prefer or []), *short, *digest)
     return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewatch.functions import classes, numbers, times
+from pricewatch.operators import moments
 from pricewatch.operators.clean import priced
 from pricewatch.session import stored
 
@@ -25,18 +26,17 @@ def zscore_anomaly(prices: DataFrame, limit: float = 3.0) -> DataFrame:
 
 def weekly_volatility(prices: DataFrame, unit: str = "week") -> DataFrame:
     """Coefficient of variation per commodity and calendar period (week or day)."""
-    period = F.date_trunc(unit, F.to_date("event_time").cast("timestamp_ntz")).cast("date")
-    return (
-        priced(prices, "event_time")
-        .groupBy("commodity", period.alias("period"))
-        .agg(
-            F.round(F.avg("price"), 2).alias("mean_price"),
-            F.round(F.stddev("price"), 2).alias("stddev_price"),
-            F.count("price").alias("n_obs"),
-        )
-        .withColumn("cv_index", F.coalesce(numbers.percent(F.col("stddev_price"), F.col("mean_price")), F.lit(0.0)))
-        .withColumn("status", classes.volatility_status(F.col("cv_index")))
-    )
+    daily = priced(prices, "event_time").withColumn("obs_date", F.to_date("event_time"))
+    return period_volatility(moments.collect(daily, ["commodity", "obs_date"]), unit)
+
+
+def period_volatility(stats: DataFrame, unit: str = "week") -> DataFrame:
+    """The same from a moments table with ``obs_date``."""
+    period = F.date_trunc(unit, F.col("obs_date").cast("timestamp_ntz")).cast("date")
+    merged = moments.combine(stats.withColumn("period", period), ["commodity", "period"])
+    rounded = merged.select("commodity", "period", F.round(moments.mean(), 2).alias("mean_price"), F.round(moments.deviation(), 2).alias("stddev_price"), "n_obs")
+    index = F.coalesce(numbers.percent(F.col("stddev_price"), F.col("mean_price")), F.lit(0.0))
+    return rounded.select("*", index.alias("cv_index"), classes.volatility_status(index).alias("status"))
 
 
 def trend_slope(prices: DataFrame, origin: str = "2024-01-01 00:00:00") -> DataFrame:

@@ -7,56 +7,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewatch.functions import classes, numbers
+from pricewatch.operators import moments
 from pricewatch.operators.clean import priced
 
 
-def cv_stats(prices: DataFrame, mean_scale: int = 2) -> DataFrame:
-    """Coefficient of variation per commodity, from already rounded mean and deviation.
+def cv_table(stats: DataFrame, mean_scale: int = 2) -> DataFrame:
+    """Dispersion table of a moments table with one row per commodity.
 
-    ``status`` is decided on the index before a missing index (one observation) becomes 0.
+    The index is the ratio of the rounded figures. ``status`` is decided on it before a missing index (one observation) becomes 0.
     """
-    return (
-        priced(prices)
-        .groupBy("commodity")
-        .agg(
-            F.round(F.avg("price"), mean_scale).alias("mean_price"),
-            F.round(F.stddev("price"), 2).alias("stddev_price"),
-            F.round(F.min("price"), 0).alias("min_price"),
-            F.round(F.max("price"), 0).alias("max_price"),
-            F.count("price").alias("n_obs"),
-        )
-        .withColumn("cv_index", numbers.percent(F.col("stddev_price"), F.col("mean_price")))
-        .withColumn("status", classes.volatility_status(F.col("cv_index")))
+    shown = stats.filter("n_obs > 0").select(
+        "commodity",
+        F.round(moments.mean(), mean_scale).alias("mean_price"),
+        F.round(moments.deviation(), 2).alias("stddev_price"),
+        *(F.round(c, 0).alias(name) for c, name in (("low", "min_price"), ("high", "max_price"))),
+        "n_obs",
     )
+    index = numbers.percent(F.col("stddev_price"), F.col("mean_price"))
+    return shown.select("*", index.alias("cv_index"), classes.volatility_status(index).alias("status"))
+
+
+def cv_stats(prices: DataFrame, mean_scale: int = 2) -> DataFrame:
+    return cv_table(moments.collect(priced(prices), ["commodity"]), mean_scale)
 
 
 def cv_volatility(prices: DataFrame) -> DataFrame:
-    return cv_stats(prices).withColumn("cv_index", F.coalesce("cv_index", F.lit(0.0)))
+    return filled(cv_stats(prices))
+
+
+def filled(table: DataFrame) -> DataFrame:
+    """The dispersion table with 0 for a missing index."""
+    return table.fillna(0.0, ["cv_index"])
+
+
+def range_table(stats: DataFrame) -> DataFrame:
+    """Spread in per cent of the mean, from a moments table with one row per commodity and label; only what is shown is rounded."""
+    mean = moments.mean()
+    index = F.when(mean > 0, numbers.percent(F.col("high") - F.col("low"), mean)).otherwise(0.0)
+    shown = {"max_price": F.col("high"), "min_price": F.col("low"), "avg_price": mean, "stddev_price": F.coalesce(moments.deviation(), F.lit(0.0))}
+    return stats.select("commodity", "label", *(F.round(c, 2).alias(name) for name, c in shown.items()), "n_obs", index.alias("range_index"))
 
 
 def range_volatility(prices: DataFrame, nan_policy: str = "null") -> DataFrame:
-    """Spread over the mean per (commodity, label). The index uses unrounded statistics."""
-    high, low, mean = F.col("max_price"), F.col("min_price"), F.col("avg_price")
-    return (
-        prices.withColumn("price", numbers.nan_as(F.col("price"), nan_policy))
-        .groupBy("commodity", "label")
-        .agg(
-            F.max("price").alias("max_price"),
-            F.min("price").alias("min_price"),
-            F.avg("price").alias("avg_price"),
-            F.stddev("price").alias("stddev_price"),
-            F.count("price").alias("n_obs"),
-        )
-        .withColumn("range_index", F.when(mean > 0, numbers.percent(high - low, mean)).otherwise(F.lit(0.0)))
-        .withColumns(
-            {
-                "stddev_price": F.coalesce(F.round("stddev_price", 2), F.lit(0.0)),
-                "max_price": F.round("max_price", 2),
-                "min_price": F.round("min_price", 2),
-                "avg_price": F.round("avg_price", 2),
-            }
-        )
-    )
+    return range_table(moments.collect(prices, ["commodity", "label"], numbers.nan_as(F.col("price"), nan_policy)))
 
 
 def trend_summary(prices: DataFrame) -> DataFrame:
@@ -88,19 +81,23 @@ def trend_summary(prices: DataFrame) -> DataFrame:
     return summary.select("commodity", "label", "avg_price", "min_price", "max_price", "n_days", "n_obs", *remarks)
 
 
+TREND_KEYS = ["commodity", "obs_date", "hour", "dow"]
+
+
+def hourly_moments(prices: DataFrame) -> DataFrame:
+    """Moments per commodity, date, hour and day of week: what trend, dispersion and correlation tables are made from."""
+    return moments.collect(priced(prices).withColumn("obs_date", F.to_date("event_time")), TREND_KEYS)
+
+
+def trend_table(stats: DataFrame) -> DataFrame:
+    """Mean, low and high of each row of :func:`hourly_moments` that has a date."""
+    rounded = {"avg_price": moments.mean(), "min_price": F.col("low"), "max_price": F.col("high")}
+    return stats.filter("obs_date is not null").select(*TREND_KEYS, *(F.round(c, 0).alias(name) for name, c in rounded.items()), "n_obs")
+
+
 def trend_periodic(prices: DataFrame) -> DataFrame:
     """Mean, low and high per commodity, date, hour and day of week."""
-    return (
-        priced(prices, "event_time")
-        .withColumn("obs_date", F.to_date("event_time"))
-        .groupBy("commodity", "obs_date", "hour", "dow")
-        .agg(
-            F.round(F.avg("price"), 0).alias("avg_price"),
-            F.round(F.min("price"), 0).alias("min_price"),
-            F.round(F.max("price"), 0).alias("max_price"),
-            F.count("price").alias("n_obs"),
-        )
-    )
+    return trend_table(hourly_moments(prices.filter(F.col("event_time").isNotNull())))
 
 
 def distribution(df: DataFrame, column: str = "commodity", top: int = 10) -> DataFrame:

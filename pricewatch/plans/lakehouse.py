@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewatch.functions import times
-from pricewatch.operators import alerts, clean, correlate, enrich, volatility
+from pricewatch.operators import alerts, clean, correlate, enrich, moments, volatility
+from pricewatch.session import stored
 from pricewatch.sinks import documents
 from pricewatch.sources.snapshots import SnapshotTable
 
@@ -54,13 +55,18 @@ class Lakehouse:
         return parts[0].unionByName(parts[1])
 
     def gold(self) -> None:
-        """Rewrite the four aggregated tables. They are unsorted; readers sort what they show."""
+        """Rewrite the four aggregated tables. They are unsorted; readers sort what they show.
+
+        The aggregates come from one moments table, for which the cleaned prices are read once; the alerts need their rows.
+        """
         prices, news = self.cleaned("prices"), self.cleaned("news")
+        hourly = stored(volatility.hourly_moments(prices), "hourly-moments")
+        by_commodity = moments.combine(hourly, ["commodity"])
         tables = {
-            "volatility": volatility.cv_volatility(prices),
-            "trend": volatility.trend_periodic(prices),
+            "volatility": volatility.filled(volatility.cv_table(by_commodity)),
+            "trend": volatility.trend_table(hourly),
             "alert": alerts.price_alert(prices),
-            "news_correlation": correlate.news_price_correlation(news, prices),
+            "news_correlation": correlate.news_dispersion(news, volatility.cv_table(by_commodity, mean_scale=0)),
         }
         for name, rows in tables.items():
             self.table("gold", name).overwrite(enrich.add_audit(rows, "_gold_created_at"))
