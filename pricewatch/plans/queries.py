@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from pricewatch import schemas
 from pricewatch.functions import classes, numbers, text, times
-from pricewatch.operators import alerts, clean, correlate, dedup, enrich, quality, stats, volatility
-from pricewatch.plans import analytics, lakehouse
+from pricewatch.operators import alerts, clean, correlate, dedup, enrich, keywords, quality, sketches, stats, volatility
+from pricewatch.plans import analytics, incremental, lakehouse
 from pricewatch.session import new_dir
 from pricewatch.sinks import documents, files as file_sink, live, publish
 from pricewatch.sources import adapters as A
 from pricewatch.sources import files, streams
+from pricewatch.sources.partitioned import PartitionedTable
 from pricewatch.sources.snapshots import SnapshotTable
-from pricewatch.streaming import jobs, runner
+from pricewatch.streaming import early_warning, hours, jobs, runner, unique
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -166,6 +167,40 @@ def keyword_tag_multi(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.mention_tags(A.feed_entries(spark, sf), F.col("summary"), A.MENTIONS).select("doc_id", "mentioned")
 
 
+def _keyword_table(spark: SparkSession) -> DataFrame:
+    rows = [(w, c, i) for i, (c, ws) in enumerate(A.KEYWORDS.items()) for w in ws]
+    return spark.createDataFrame(rows, "keyword string, tag string, rank int")
+
+
+@query
+def keyword_table_first(spark: SparkSession, sf: str) -> DataFrame:
+    """The tags of ``keyword_tag_words`` by joins with a keyword table."""
+    entries = A.feed_entries(spark, sf).select("doc_id", "summary")
+    return keywords.first_tag(entries, _keyword_table(spark), "doc_id", "summary", "general").select("doc_id", "commodity")
+
+
+@query
+def keyword_table_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles that have each pair of words that stand next to each other in a benchmark item."""
+    item = F.filter(F.split(F.lower("text"), f"{text.OUTSIDE}+"), lambda w: w != "")
+    pairs = A.table(spark, sf, "benchmark").select(item.alias("w")).filter(F.size("w") > 1)
+    pairs = pairs.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))).alias("keyword"))
+    table = pairs.distinct().select("keyword", F.lit("phrase").alias("tag"), F.lit(0).alias("rank"))
+    found = keywords.mentions(A.feed_entries(spark, sf).select("doc_id", "summary"), table, "doc_id", "summary")
+    return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@query
+def distinct_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Users per commodity from daily sketches: the exact number, and whether the estimate keeps its error bound."""
+    rows = A.table(spark, sf, "events").select(F.col("event_type").alias("commodity"), F.to_date("ts").alias("obs_date"), "user_id")
+    daily = sketches.daily_sketches(rows, F.col("user_id"), ["commodity", "obs_date"])
+    about = sketches.merged(daily, ["commodity"]).select("commodity", sketches.estimate().alias("about"))
+    exact = rows.groupBy("commodity").agg(F.count_distinct("user_id").alias("n_users"))
+    off = F.abs(F.col("about") - F.col("n_users")) <= sketches.error_bound() * F.col("n_users")
+    return exact.join(about, "commodity").select("commodity", "n_users", off.alias("within_bound"))
+
+
 @query
 def mention_totals(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.mention_counts(A.feed_entries(spark, sf), A.MENTIONS, "summary")
@@ -209,6 +244,30 @@ def clean_news(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _in_batches(spark: SparkSession, sf: str, cleaning: incremental.Cleaning) -> DataFrame:
+    """Raw rows cleaned in three batches, one of them repeated; the later half of the month comes first."""
+    raw = A.mixed(spark, sf)
+    table = incremental.IncrementalClean(spark, new_dir(spark, "cleaned"), schemas.MIXED, cleaning, SETTINGS, buckets=8)
+    late = F.coalesce(F.col("ts_iso"), F.translate("ts_text", " ", "T")) >= "2024-01-16"
+    for part in (raw.filter(late), raw.filter(~F.coalesce(late, F.lit(False))), raw.filter(late)):
+        table.add(part)
+    return table.cleaned()
+
+
+@query
+def clean_prices_batches(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_batches(spark, sf, incremental.PRICES).select(
+        "message_id", "commodity", "price", "topic", "link", "source_feed", "event_time", "hour", "dow"
+    )
+
+
+@query
+def clean_news_batches(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_batches(spark, sf, incremental.NEWS).select(
+        "commodity", "title", "summary", "link", "source_feed", "event_time", "hour", "dow"
+    )
+
+
 @query
 def clean_accounting(spark: SparkSession, sf: str) -> DataFrame:
     raw = A.mixed(spark, sf)
@@ -597,7 +656,7 @@ BIG_ORDER = 400_000.0
 
 def _versions(spark: SparkSession, sf: str) -> SnapshotTable:
     """Three versions of the orders: written, large ones marked, cancelled ones deleted."""
-    table = SnapshotTable(spark, new_dir(spark, "orders"), stats=("o_orderkey", "o_orderstatus"))
+    table = SnapshotTable(spark, new_dir(spark, "orders"))
     orders = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     table.overwrite(orders, "CREATE")
     table.update(F.col("o_totalprice") > BIG_ORDER, {"o_orderstatus": F.lit("REVIEW")})
@@ -610,14 +669,28 @@ def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return _versions(spark, sf).read(0)
 
 
+def _by_month(spark: SparkSession, sf: str) -> PartitionedTable:
+    """The orders in a partition a month, the large ones marked."""
+    orders = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    rows = orders.withColumn("_month", F.date_format("o_orderdate", "yyyy-MM"))
+    table = PartitionedTable(spark, new_dir(spark, "orders-by-month"), rows.schema, ("_month",))
+    table.replace(rows, rows.select("_month").distinct())
+    table.update(F.col("o_totalprice") > BIG_ORDER, {"o_orderstatus": F.lit("REVIEW")})
+    return table
+
+
 @query
 def snapshot_update(spark: SparkSession, sf: str) -> DataFrame:
-    return _versions(spark, sf).read(1)
+    """Large orders marked; months without one are not rewritten."""
+    return _by_month(spark, sf).read().drop("_month")
 
 
 @query
 def snapshot_delete(spark: SparkSession, sf: str) -> DataFrame:
-    return _versions(spark, sf).read()
+    """Cancelled orders deleted after that; months without one are not rewritten."""
+    table = _by_month(spark, sf)
+    table.delete(F.col("o_orderstatus") == "P")
+    return table.read().drop("_month")
 
 
 @query
@@ -627,16 +700,9 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def snapshot_history(spark: SparkSession, sf: str) -> DataFrame:
-    metric = F.col("metrics")
-    return _versions(spark, sf).history().select(
-        "version",
-        "operation",
-        "mode",
-        metric["rows"].cast("bigint").alias("n_rows"),
-        metric["nulls.o_orderstatus"].cast("bigint").alias("n_nulls"),
-        metric["min.o_orderkey"].cast("bigint").alias("min_key"),
-        metric["max.o_orderkey"].cast("bigint").alias("max_key"),
-    )
+    key = F.col("o_orderkey")
+    nulls = F.count_if(F.col("o_orderstatus").isNull())
+    return _versions(spark, sf).history(nulls.alias("n_nulls"), F.min(key).alias("min_key"), F.max(key).alias("max_key"))
 
 
 @query
@@ -763,6 +829,16 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     return landed.select("topic", "message_id", "link", "commodity", "price", "ts_iso", "ts_text")
 
 
+@query
+def stream_land_grouped(spark: SparkSession, sf: str) -> DataFrame:
+    """The same landed by topic and day from many batches, whose files are regrouped on the way."""
+    source, out = new_dir(spark, "stream-many"), new_dir(spark, "stream-grouped")
+    A.mixed(spark, sf).repartition(12).write.json(source)
+    runner.drain(jobs.land_grouped(streams.read_files(spark, source, files_per_trigger=1), out), f"{out}-checkpoint")
+    landed = files.read_landed(spark, out)
+    return landed.select("topic", "message_id", "link", "commodity", "price", "ts_iso", "ts_text")
+
+
 @query
 def stream_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Raw records validated, completed and published as keyed messages, from a stream."""
@@ -805,15 +881,28 @@ def stream_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Each article once, from two runs: the earlier half of the month comes last."""
+    """Each article once, from three runs with copies; the earlier half of the month comes last."""
     path, out = new_dir(spark, "stream-news"), new_dir(spark, "stream-unique")
     rows = A.feed_entries(spark, sf).select("link", "title", "published", "event_time")
     half = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     for part in (rows.filter(F.col("event_time") >= half), rows.filter(F.col("event_time") < half)):
         part.write.mode("append").parquet(path)
         stream = spark.readStream.schema(rows.schema).parquet(path)
-        runner.drain(jobs.dedup_news(stream, out), f"{out}-checkpoint")
-    return spark.read.schema("link string, title string").parquet(out).select("link", "title")
+        runner.drain(unique.dedup_news(stream, out), f"{out}-checkpoint")
+    return spark.read.schema("link string, title string").parquet(f"{out}/articles").select("link", "title")
+
+
+@query
+def stream_dedup_archived(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``stream_dedup``, with a state that forgets at once: copies are found in the archive of keys."""
+    path, out = new_dir(spark, "stream-news"), new_dir(spark, "stream-unique")
+    rows = A.feed_entries(spark, sf).select("link", "title", "published", "event_time")
+    half = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for part in (rows.filter(F.col("event_time") >= half), rows.limit(0), rows):
+        part.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        runner.drain(unique.dedup_news(stream, out, remember=0), f"{out}-checkpoint")
+    return spark.read.schema("link string, title string").parquet(f"{out}/articles").select("link", "title")
 
 
 def _tick_files(spark: SparkSession, sf: str) -> tuple[str, str, DataFrame, DataFrame]:
@@ -833,17 +922,31 @@ def stream_trend(spark: SparkSession, sf: str) -> DataFrame:
     for rows in (second, first):
         rows.write.mode("append").parquet(root)
         stream = spark.readStream.schema(schema).parquet(root)
-        runner.drain(jobs.hourly_trend(stream, out), f"{out}-checkpoint")
-    return jobs.hourly_totals(spark, out)
+        runner.drain(hours.partial_sums(stream, out), f"{out}-checkpoint")
+    return hours.totals(spark, out)
+
+
+@query
+def stream_closed_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours published by a watermark, and what became of them when the earlier half of the month came last."""
+    root, schema, first, second = _tick_files(spark, sf)
+    out = f"{root}-hours"
+    for rows in (second, first):
+        rows.write.mode("append").parquet(root)
+        stream = spark.readStream.schema(schema).parquet(root)
+        runner.drain(hours.partial_sums(stream, f"{out}/sums"), f"{out}-checkpoint/sums")
+        runner.drain(hours.closed_hours(stream, f"{out}/closed"), f"{out}-checkpoint/closed")
+    return hours.standing(spark, f"{out}/sums", f"{out}/closed")
 
 
 @query
 def stream_alert(spark: SparkSession, sf: str) -> DataFrame:
-    """Alerts of two runs; the first row of the second run looks back into the first."""
+    """Alerts of two runs, of which the earlier half of the month comes last: late rows and their successors are put right."""
     root, schema, first, second = _tick_files(spark, sf)
     out = f"{root}-alert"
-    for rows in (first, second):
+    for rows in (second, first):
         rows.write.mode("append").parquet(root)
         stream = spark.readStream.schema(schema).parquet(root)
-        runner.drain(jobs.alerts(stream, out), f"{out}-checkpoint")
-    return spark.read.parquet(f"{out}/alerts").select(*alerts.ALERT_COLUMNS)
+        runner.drain(early_warning.changes(stream, out), f"{out}-checkpoint/changes")
+        runner.drain(early_warning.edge_changes(spark, out), f"{out}-checkpoint/edges")
+    return early_warning.current(spark, out)

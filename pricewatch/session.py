@@ -51,6 +51,20 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path; none if it is not there."""
+    store, target = _folder(spark, path)
+    if not store.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(target) if s.isDirectory())
+
+
+def keyed_state(spark: SparkSession) -> None:
+    """Keep the state of streaming operators in RocksDB: on the executor's disk, looked up by key, with changes in the checkpoint."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of any store that Spark reaches; none is fine."""
     store, target = _folder(spark, path)

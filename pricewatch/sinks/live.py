@@ -73,15 +73,15 @@ def newest(messages: DataFrame, n: int, ties: list[str], by: str = "topic", arri
 
 
 def refresh(view: SnapshotTable, batch: DataFrame, ties: list[str], n: int = LIVE_ROWS, batch_id: int | None = None, keep: int = 3) -> int:
-    """Merge a batch into a live view and keep the newest ``n`` rows. A replayed batch is skipped; the
+    """Merge a batch into a live view and keep the newest ``n`` rows. Versions are named by the batch; a replayed one is skipped. The
     files of all but the ``keep`` newest versions go."""
     if batch_id is not None and view.done(batch_id):
         return view.latest_version()
     rows = batch
-    if view.versions():
+    if not view.empty():
         rows = view.read().unionByName(batch)
     top = rows.orderBy(F.col("arrived").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]).limit(n)
-    version = view.overwrite(top, "REFRESH", batch_id=batch_id)
+    version = view.overwrite(top, "REFRESH", batch_id)
     view.vacuum(keep)
     return version
 

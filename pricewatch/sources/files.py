@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewatch import schemas
+from pricewatch.streaming import spans
 
 CORRUPT = "_corrupt_record"
 
@@ -38,6 +39,12 @@ def read_messages(spark: SparkSession, path: str, wire: bool = False, multi_line
     return rename_wire(df) if wire else df
 
 
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that :func:`pricewatch.streaming.jobs.land_grouped` has landed, in the mixed shape, with the columns of their layout, by which
+    Spark prunes folders."""
+    return spans.read(spark, path, f"{schemas.MIXED}, _topic string, _date string", "json")
+
+
 def well_formed(df: DataFrame) -> DataFrame:
     """Rows of valid files. (Spark wants a data column in the query too: count a named column.)"""
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)

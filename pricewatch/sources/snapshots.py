@@ -1,143 +1,119 @@
-"""Versioned Parquet tables for one writer.
+"""Versions of a table as plain Parquet, for one writer.
 
-Layout: ``data/_version=N/*.parquet`` and, written after the data, ``commits/version=N/*.json`` with
-the operation, the schema and the write's metrics. Readers only use committed versions, so a failed
-write stays invisible. ``append`` adds to what is visible; ``overwrite`` hides everything before it
-but keeps the files, which is what makes older versions readable until ``vacuum`` removes them. A
-commit lists the versions visible at it and their merged schema, so a reader opens one record.
+An overwrite at version B begins a folder ``_base=B``; appends after it add to that folder. Rows carry the version that wrote them, so the table
+as of version V is the newest base up to V, filtered on the version. What is complete is seen from the names of the folders: no log is
+kept. Appends are merged as they pile up (:mod:`pricewatch.streaming.spans`), so a reader opens few folders, and columns that later versions
+add are merged by Spark when it reads. A streaming job names versions by its batch ids, so a replayed batch is known.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from pricewatch.session import drop_folder, folder_exists
+from pricewatch.session import drop_folder, subfolders
+from pricewatch.streaming import spans
 
-COMMIT = (
-    "version int, committed_at timestamp, operation string, mode string, parameters string, "
-    "schema_json string, metrics map<string,string>, batch_id bigint, visible array<int>, last_batch bigint"
-)
+#: Versions that one merged folder of appends holds at most.
+WIDEST = 1000
 
 
 class SnapshotTable:
-    def __init__(
-        self, spark: SparkSession, path: str, stats: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()
-    ):
-        """``stats`` names the columns whose null count, minimum and maximum each commit records;
-        ``partition_by`` the columns that lay out the files of a version, such as a date."""
+    def __init__(self, spark: SparkSession, path: str, partition_by: tuple[str, ...] = ()):
+        """``partition_by``: the columns that lay out the files of a version, such as a date. They come last when read."""
         self.spark = spark
         self.path = path.rstrip("/")
-        self.stats = stats
         self.partition_by = partition_by
 
-    # -- commit log -------------------------------------------------------------------------
-    def history(self) -> DataFrame:
-        """One row per committed version."""
-        if not folder_exists(self.spark, f"{self.path}/commits"):
-            return self.spark.createDataFrame([], COMMIT)
-        return self.spark.read.schema(COMMIT).json(f"{self.path}/commits")
+    # -- versions ---------------------------------------------------------------------------
+    def _base_path(self, base: int) -> str:
+        return f"{self.path}/_base={base}"
 
-    def versions(self) -> list[int]:
-        """All readable versions, for inspection; reading and writing look at one commit only."""
-        return sorted(row.version for row in self.history().select("version").collect())
+    def _bases(self) -> list[int]:
+        """Versions at which the table was written anew, oldest first; incomplete ones left out."""
+        found = sorted(int(name.removeprefix("_base=")) for name in subfolders(self.spark, self.path))
+        return [b for b in found if spans.complete(self.spark, self._base_path(b))]
 
     def _latest(self) -> int | None:
-        return self.history().agg(F.max("version").alias("version")).first().version
+        bases = self._bases()
+        return bases[-1] + spans.complete(self.spark, self._base_path(bases[-1]))[-1][1] if bases else None
+
+    def empty(self) -> bool:
+        """Whether there is no version yet."""
+        return self._latest() is None
 
     def latest_version(self) -> int:
         version = self._latest()
         if version is None:
-            raise ValueError(f"no committed version in {self.path}")
+            raise ValueError(f"no complete version in {self.path}")
         return version
 
-    def _commit(self, version: int):
-        """The record of one version, or None."""
-        rows = self.history().filter(F.col("version") == version).select("visible", "schema_json", "last_batch").take(1)
-        return rows[0] if rows else None
+    def versions(self) -> list[int]:
+        """All readable versions."""
+        return [b + i for b in self._bases() for _, end in spans.complete(self.spark, self._base_path(b))[-1:] for i in range(end + 1)]
+
+    def done(self, version: int) -> bool:
+        """Whether a version is complete already: a streaming batch may be replayed."""
+        latest = self._latest()
+        return latest is not None and latest >= version
 
     # -- read -------------------------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
-        """The table as of a version (default: the latest). Only its own folders are listed and read."""
-        commit = self._commit(self.latest_version() if version is None else version)
-        if commit is None:
+        """The table as of a version (default: the latest)."""
+        latest = self.latest_version()
+        wanted = latest if version is None else version
+        bases = [b for b in self._bases() if b <= wanted]
+        if not bases or wanted > latest:
             raise ValueError(f"version {version} is not in {self.path}")
-        schema = T.StructType.fromJson(json.loads(commit.schema_json))
-        columns = list(schema.names)
-        folders = [f"{self.path}/data/_version={v}" for v in commit.visible]
-        reader = self.spark.read.schema(schema.add("_version", T.IntegerType()))
-        return reader.option("basePath", f"{self.path}/data").parquet(*folders).select(*columns)
+        rows = spans.read_merged(self.spark, self._base_path(bases[-1]), wanted - bases[-1])
+        return rows.filter(F.col("_version") <= wanted).drop("_version", "_operation")
+
+    def history(self, *measures: Column) -> DataFrame:
+        """version, operation, mode, n_rows and the given aggregates of the rows that each readable version wrote."""
+        parts = [spans.read_merged(self.spark, self._base_path(b)).withColumn("_base", F.lit(b)) for b in self._bases()]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        mode = F.when(F.col("_base") == F.col("_version"), "overwrite").otherwise("append")
+        found = rows.groupBy(F.col("_version").alias("version"), F.col("_operation").alias("operation"), mode.alias("mode"))
+        return found.agg(F.count(F.lit(1)).alias("n_rows"), *measures)
 
     # -- write ------------------------------------------------------------------------------
-    def append(self, df: DataFrame, operation: str = "APPEND", batch_id: int | None = None) -> int:
-        return self._write(df, "append", operation, "", batch_id)
+    def append(self, df: DataFrame, operation: str = "APPEND", version: int | None = None) -> int:
+        """Add rows as a new version. A first append begins a base."""
+        bases = self._bases()
+        if not bases:
+            return self.overwrite(df, operation, version)
+        version = self.latest_version() + 1 if version is None else version
+        self._write(df, bases[-1], version, operation)
+        return version
 
-    def overwrite(self, df: DataFrame, operation: str = "OVERWRITE", parameters: str = "", batch_id: int | None = None) -> int:
-        return self._write(df, "overwrite", operation, parameters, batch_id)
+    def overwrite(self, df: DataFrame, operation: str = "OVERWRITE", version: int | None = None) -> int:
+        """Write the table anew; versions before stay readable until :meth:`vacuum`."""
+        if version is None:
+            latest = self._latest()
+            version = 0 if latest is None else latest + 1
+        self._write(df, version, version, operation)
+        return version
+
+    def _write(self, df: DataFrame, base: int, version: int, operation: str) -> None:
+        rows = df.withColumns({"_version": F.lit(version), "_operation": F.lit(operation)})
+        spans.write(rows, self._base_path(base), version - base, None, self.partition_by, WIDEST, evolving=True)
 
     def update(self, condition: Column, values: dict[str, Column]) -> int:
-        """New version in which matching rows take the given values; a null test leaves a row as it is."""
-        df = self.read()
+        """New version in which matching rows take the given values; a null test leaves a row as it is. Writes every row: for tables
+        whose history matters; :class:`pricewatch.sources.partitioned.PartitionedTable` rewrites partitions with hits only."""
         hit = F.coalesce(condition, F.lit(False))
-        changed = df.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in values.items()})
-        return self.overwrite(changed, "UPDATE", ",".join(values))
+        changed = self.read().withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in values.items()})
+        return self.overwrite(changed, "UPDATE")
 
     def delete(self, condition: Column) -> int:
         return self.overwrite(self.read().filter(~F.coalesce(condition, F.lit(False))), "DELETE")
 
-    def done(self, batch_id: int) -> bool:
-        """Whether a streaming batch has been committed already (it may be replayed)."""
-        latest = self._latest()
-        last = None if latest is None else self._commit(latest).last_batch
-        return last is not None and last >= batch_id
-
     def vacuum(self, keep: int) -> None:
-        """Remove the files of versions that none of the ``keep`` newest versions shows."""
-        newest = sorted(self.versions())[-keep:]
-        shown = {v for version in newest for v in self._commit(version).visible}
-        for version in range(min(shown, default=0)):
-            drop_folder(self.spark, f"{self.path}/commits/version={version}")
-            drop_folder(self.spark, f"{self.path}/data/_version={version}")
-
-    def _write(self, df: DataFrame, mode: str, operation: str, parameters: str, batch_id: int | None) -> int:
-        latest = self._latest()
-        before = None if latest is None else self._commit(latest)
-        version = 0 if latest is None else latest + 1
-        kept = before if before and mode == "append" else None
-        schema = _merged([T.StructType.fromJson(json.loads(kept.schema_json)), df.schema] if kept else [df.schema])
-        last_batch = batch_id if batch_id is not None else before.last_batch if before else None
-        seen = Observation(f"write-{uuid.uuid4().hex}")
-        writer = df.observe(seen, *_metrics(self.stats)).write.mode("overwrite").partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/data/_version={version}")
-        metrics = {k: str(v) for k, v in seen.get.items() if v is not None}
-        pairs = [F.lit(x) for pair in metrics.items() for x in pair]
-        commit = self.spark.range(0, 1, 1, 1).select(
-            F.lit(version).alias("version"),
-            F.current_timestamp().alias("committed_at"),
-            F.lit(operation).alias("operation"),
-            F.lit(mode).alias("mode"),
-            F.lit(parameters).alias("parameters"),
-            F.lit(schema.json()).alias("schema_json"),
-            F.create_map(*pairs).alias("metrics"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.array(*[F.lit(v) for v in [*(kept.visible if kept else []), version]]).alias("visible"),
-            F.lit(last_batch).cast("bigint").alias("last_batch"),
-        )
-        commit.write.mode("overwrite").json(f"{self.path}/commits/version={version}")
-        return version
-
-    # -- inspection -------------------------------------------------------------------------
-    def files(self, version: int) -> DataFrame:
-        """Files of one version with bytes, rows and the statistics of the ``stats`` columns."""
-        df = self.spark.read.parquet(f"{self.path}/data/_version={version}")
-        file = F.col("_metadata")
-        return df.groupBy(file["file_name"].alias("file_name"), file["file_size"].alias("n_bytes")).agg(
-            *_metrics(self.stats)
-        )
+        """Remove all but the ``keep`` newest bases. Older ones went at earlier calls, so only what is new to go is listed."""
+        for base in self._bases()[:-keep]:
+            drop_folder(self.spark, self._base_path(base))
 
     def diff(self, before: int, after: int, key: list[str], columns: list[str]) -> DataFrame:
         """Rows that differ between two versions: ``added``, ``removed`` or ``changed``."""
@@ -145,17 +121,24 @@ class SnapshotTable:
 
 
 def compare(before: DataFrame, after: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Differences of two tables by key, with the old and new value of each column."""
-    b = before.select(*key, F.struct(*columns).alias("_b"))
-    a = after.select(*key, F.struct(*columns).alias("_a"))
+    """Differences of two tables by key, with the old and new value of each column.
+
+    Both sides are put below each other and met in one aggregation, so a shuffle of each side serves, without a join. Keys are unique on each side.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*key, F.lit(name).alias("_side"), F.struct(*columns).alias("_row"))
+
+    def only(name: str):
+        return F.first(F.when(F.col("_side") == name, F.col("_row")), ignorenulls=True)
+
+    both = side(before, "b").unionByName(side(after, "a")).groupBy(*key).agg(only("b").alias("_b"), only("a").alias("_a"))
     kind = (
         F.when(F.col("_b").isNull(), "added")
         .when(F.col("_a").isNull(), "removed")
         .when(~F.col("_a").eqNullSafe(F.col("_b")), "changed")
     )
     return (
-        b.join(a, key, "full_outer")
-        .withColumn("change", kind)
+        both.withColumn("change", kind)
         .filter(F.col("change").isNotNull())
         .select(
             *key,
@@ -164,23 +147,3 @@ def compare(before: DataFrame, after: DataFrame, key: list[str], columns: list[s
             *[F.col(f"_a.{c}").alias(f"{c}_after") for c in columns],
         )
     )
-
-
-def _metrics(columns: tuple[str, ...]) -> list[Column]:
-    """Row count, and null count, minimum and maximum (as text) of the given columns."""
-    out = [F.count(F.lit(1)).alias("rows")]
-    for c in columns:
-        value = F.col(f"`{c}`")
-        for name, metric in (("nulls", F.count_if(value.isNull())), ("min", F.min(value)), ("max", F.max(value))):
-            out.append(metric.cast("string").alias(f"{name}.{c}"))
-    return out
-
-
-def _merged(parts: list[T.StructType]) -> T.StructType:
-    """Columns of all visible versions; a later version may add columns."""
-    out = T.StructType()
-    for part in parts:
-        for f in part.fields:
-            if f.name not in out.names:
-                out.add(f.name, f.dataType, True)
-    return out

@@ -1,22 +1,17 @@
-"""The streaming jobs. Every output is tied to the checkpoint or to the batch id, so a restart or a
+"""The streaming jobs without state of their own. Every output is tied to the checkpoint or to the batch id, so a restart or a
 replayed batch adds nothing twice."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from pricewatch import dims
-from pricewatch.functions import text
 from pricewatch.operators import clean
-from pricewatch.operators.alerts import ALERT_COLUMNS, classify_changes, with_previous
-from pricewatch.operators.dedup import keep_one
 from pricewatch.operators.enrich import add_provenance
-from pricewatch.operators.slices import newest_per_key
-from pricewatch.session import drop_folder
 from pricewatch.sinks import live
 from pricewatch.sources.snapshots import SnapshotTable
+from pricewatch.streaming import spans
 
 
 def land(stream: DataFrame, path: str) -> DataStreamWriter:
@@ -29,6 +24,24 @@ def land(stream: DataFrame, path: str) -> DataStreamWriter:
     return counted.withColumn("_topic", F.col("topic")).writeStream.format("json").option("path", path).partitionBy("_topic")
 
 
+LAYOUT = ("_topic", "_date")
+
+
+def land_grouped(stream: DataFrame, path: str) -> DataStreamWriter:
+    """Messages as JSON in one folder per topic and day, regrouped as they pile up.
+
+    Ten spans of batches become one wider span, in which Spark deals the rows of a topic and day out to files of its advisory size, however small
+    the files of the batches were. Readers (:func:`pricewatch.sources.files.read_landed`) see each row once at any time.
+    """
+    day = F.substring(F.coalesce("ts_iso", "ts_text"), 1, 10)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumns({"_topic": F.col("topic"), "_date": day})
+        spans.write(rows, path, batch_id, lambda parts: parts.hint("rebalance", *LAYOUT), LAYOUT, spans.FAN**4, "json")
+
+    return stream.writeStream.foreachBatch(write)
+
+
 def validated(stream: DataFrame, known: list[str], raw_price: str = "price") -> DataFrame:
     """Valid price records of a stream or table; sent and dropped rows are counted as ``validation``."""
     tagged = clean.validate_prices(stream, known, raw_price)
@@ -38,11 +51,11 @@ def validated(stream: DataFrame, known: list[str], raw_price: str = "price") ->
 
 
 def ingest(stream: DataFrame, table: SnapshotTable, source: str) -> DataStreamWriter:
-    """Append every batch of landed files to the raw table with its provenance."""
+    """Append every batch of landed files to the raw table, which is the job's own, as the version of the batch's id, with its provenance."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not table.done(batch_id):
-            table.append(add_provenance(batch, source), "STREAMING APPEND", batch_id=batch_id)
+            table.append(add_provenance(batch, source), "STREAMING APPEND", batch_id)
 
     return stream.writeStream.foreachBatch(write)
 
@@ -69,111 +82,3 @@ def fan_out(
             batch.unpersist()
 
     return stream.writeStream.foreachBatch(write)
-
-
-ARTICLE = "_article string"
-
-
-def dedup_news(stream: DataFrame, path: str, time_column: str = "event_time") -> DataStreamWriter:
-    """Each article once, however late a copy comes: parquet folders ``batch=N`` under ``path``.
-
-    A batch keeps the earliest row of each article and leaves out the articles of earlier batches,
-    of which it reads the key only. A replayed batch writes the same rows again.
-    """
-    article = text.article_id(F.col("link"), F.col("title"), F.col("published"))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_one(batch.withColumn("_article", article), ["_article"], [F.col(time_column).asc_nulls_last()])
-        if batch_id > 0:
-            seen = batch.sparkSession.read.schema(f"{ARTICLE}, batch int").parquet(path)
-            rows = rows.join(seen.filter(F.col("batch") < batch_id).select("_article"), "_article", "left_anti")
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return stream.writeStream.foreachBatch(write)
-
-
-HOURS = "commodity string, hour_start timestamp_ntz, total double, n_obs bigint, low double, high double"
-
-
-def hourly_trend(stream: DataFrame, path: str, time_column: str = "event_time") -> DataStreamWriter:
-    """Sum, count, low and high per commodity and hour of each batch, as folders ``batch=N`` under
-    ``path``. Rows of any age count, and open hours are in; :func:`hourly_totals` adds the batches up."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        hour = F.date_trunc("hour", F.col(time_column)).cast("timestamp_ntz").alias("hour_start")
-        parts = (
-            clean.priced(batch, time_column)
-            .groupBy("commodity", hour)
-            .agg(
-                F.sum("price").alias("total"),
-                F.count("price").alias("n_obs"),
-                F.min("price").alias("low"),
-                F.max("price").alias("high"),
-            )
-        )
-        parts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return stream.writeStream.foreachBatch(write)
-
-
-def hourly_totals(spark: SparkSession, path: str) -> DataFrame:
-    """Hourly mean, low, high and count per commodity over all batches so far."""
-    parts = spark.read.schema(f"{HOURS}, batch int").parquet(path)
-    sums = parts.groupBy("commodity", "hour_start").agg(
-        F.round(F.sum("total") / F.sum("n_obs"), 0).alias("avg_price"),
-        F.round(F.min("low"), 0).alias("min_price"),
-        F.round(F.max("high"), 0).alias("max_price"),
-        F.sum("n_obs").alias("n_obs"),
-    )
-    return sums
-
-
-def compact_hours(spark: SparkSession, path: str, into: str) -> None:
-    """All batches so far as one batch of a new folder, for a job that starts over from there."""
-    parts = spark.read.schema(f"{HOURS}, batch int").parquet(path)
-    sums = parts.groupBy("commodity", "hour_start").agg(F.sum("total").alias("total"), F.sum("n_obs").alias("n_obs"), F.min("low").alias("low"), F.max("high").alias("high"))
-    sums.write.parquet(f"{into}/batch=-1")
-
-
-STATE = "commodity string, event_time timestamp_ntz, message_id string, price double"
-
-
-def alerts(stream: DataFrame, path: str, threshold: float = dims.ALERT_PCT, **limits: int) -> DataStreamWriter:
-    """Alerts against the previous observation, across batches.
-
-    The state is the last observation of each commodity, written per batch; batch N reads the
-    state of batch N-1, so a replay gives the same result. Inside a batch a hot commodity is
-    spread by the sliced window. Rows not newer than the state go to ``late``.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last = spark.createDataFrame([], STATE)
-        if batch_id > 0:
-            last = spark.read.schema(STATE).parquet(f"{path}/state/batch={batch_id - 1}")
-        rows = clean.priced(batch.select("commodity", "event_time", "message_id", "price"), "event_time")
-        seen = last.select("commodity", F.struct("event_time", "message_id").alias("_last"))
-        is_late = F.struct("event_time", "message_id") <= F.col("_last")
-        marked = rows.join(seen, "commodity", "left")
-        marked = marked.withColumn("_late", F.coalesce(is_late, F.lit(False))).drop("_last").persist()
-        try:
-            fresh = marked.filter(~F.col("_late")).withColumn("_state", F.lit(False)).drop("_late")
-            both = fresh.unionByName(last.withColumn("_state", F.lit(True)))
-            # State rows only serve as predecessors of the new rows.
-            previous = with_previous(both, keep=("_state",), **limits).filter(~F.col("_state"))
-            changes = classify_changes(previous, threshold).withColumn("hour", F.hour("event_time"))
-            newest = newest_per_key(both, ["commodity"], [F.desc("event_time"), F.desc("message_id")], 1)
-            outputs = {
-                "alerts": changes.select(*ALERT_COLUMNS),
-                "late": marked.filter("_late").drop("_late"),
-                "state": newest.select("commodity", "event_time", "message_id", "price"),
-            }
-            for name, out in outputs.items():
-                out.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
-            # A replay of this batch needs the state before it; older states are not read again.
-            drop_folder(spark, f"{path}/state/batch={batch_id - 2}")
-        finally:
-            marked.unpersist()
-
-    return stream.writeStream.foreachBatch(write)
-
