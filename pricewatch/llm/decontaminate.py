@@ -8,7 +8,8 @@ The items are the stated query set: they are taken in blocks of at most ``block_
 that workers build from a broadcast of that size at most, and the documents pass through one block after the other.
 
 Defined cases: a null text has no words; items without words never occur; a repeated item counts once; a null item id
-reads as an empty string; documents keep all their columns and their number of rows, and an empty table gives an empty result.
+reads as an empty string; documents keep all their columns and their number of rows, and an empty table gives an empty result. Very long texts are
+streamed whole, one at a time. Where a span is cut out of a text, other columns, such as a length, stay as they were.
 """
 
 from __future__ import annotations
@@ -217,10 +218,29 @@ def remove_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", min_
     """``docs`` without contaminated rows; in the others, hit spans longer than ``min_words`` words are cut out of the text."""
     found = fresh("_found", docs)
     marked = annotate(docs, items, text_col, into=found, **options).filter(~contaminated(found, coverage))
-    # No UDF for rows without long spans, which are nearly all.
     long_spans = F.filter(F.col(f"{found}.spans"), lambda s: s["end"] - s["start"] > min_words)
-    cut = F.when(F.size(long_spans) > 0, F.udf(_cut, "string")(F.col(f"`{text_col}`"), long_spans)).otherwise(F.col(f"`{text_col}`"))
-    return marked.withColumn(text_col, cut).select(*(F.col(f"`{c}`") for c in docs.columns))
+    marked = marked.withColumn(found, long_spans)
+    return marked.mapInArrow(_cutting(text_col, found), marked.schema).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _cutting(text_col: str, found: str):
+    """Cuts the spans out; batches without any, which are nearly all, go through as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column(found)
+            if len(spans.flatten()):
+                at = batch.schema.get_field_index(text_col)
+                texts = batch.column(at).to_pylist()
+                for i, mine in enumerate(spans):
+                    if len(mine):
+                        texts[i] = _cut(texts[i], mine.as_py())
+                columns = batch.columns
+                columns[at] = pa.array(texts, batch.schema.field(at).type)
+                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield batch
+
+    return run
 
 
 def _cut(text: str | None, spans) -> str | None:

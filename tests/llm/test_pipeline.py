@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import corpus_pipeline
 from pricewatch.llm import decontaminate, registry, simhash, toxicity
@@ -34,9 +35,15 @@ def test_stages_against_brute_force(spark):
     final = {}
     for i, t in kept.items():
         words = decontaminate.words(t.encode())
-        hit = sum(b - a for a, b in automaton.scan(words)[0])
+        spans = automaton.scan(words)[0]
+        hit = sum(b - a for a, b in spans)
         if not (hit and 20 * hit >= len(words)):
-            final[i] = t
+            places = [m.span() for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", t.encode())]
+            raw = t.encode()
+            for a, b in reversed(spans):
+                if b - a > 13:
+                    raw = raw[: places[a][0]] + raw[places[b - 1][1] :]
+            final[i] = raw.decode()
     stage, frames = docs, []
     for name, step in corpus_pipeline.STAGES:
         stage = corpus_pipeline.stored(step(spark, stage, SF), "test")
