@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame; :func:`run` writes each stage's
 rows as Parquet and gives the next stage the written table. All but the last return the columns of ``documents``.
+
+Defined cases: a null text counts as empty; rows that repeat id and text are one document from the near-duplicate stage on; null ids
+stay; of ties the operators' rules decide; an empty table gives an empty result; columns beside id and text go through unread.
 """
 
 from __future__ import annotations
@@ -27,9 +30,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.deduplicate(docs)
 
 
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth or more are benchmark windows go; all others stay as they are."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more are words of benchmark windows go. From the others, runs of such words longer than a
+    window are cut; all others stay as they are."""
+    return decontaminate.remove_spans(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +45,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
     ("near dedup", drop_near_copies),
-    ("decontamination", drop_contaminated),
+    ("decontamination", decontaminated),
     ("packing", pack),
 ]
 
