@@ -122,14 +122,17 @@ def units(texts: DataFrame) -> DataFrame:
 
 
 def several(rows: DataFrame, key: str, place: list[str]) -> DataFrame:
-    """The keys at more than one place; counted in every task first, and no key's places are gathered."""
+    """The rows whose key is at more than one place. Keys are counted in every task first and written, so that both sides of the join
+    are plain shuffles, of which Spark splits the parts of hot keys."""
     mark = F.xxhash64(*place)
-    return rows.groupBy(key).agg(F.min(mark).alias("a"), F.max(mark).alias("b")).filter("a <> b").select(key)
+    keys = rows.groupBy(key).agg(F.min(mark).alias("a"), F.max(mark).alias("b")).filter("a <> b").select(key)
+    return rows.join(stored(keys, f"repeated-{key}"), key)
 
 
 def kept(found: DataFrame) -> DataFrame:
     """The units whose gram stands at more than one place of distinct texts, once each."""
-    return found.join(several(found, "gram", ["text_id", "at"]), "gram").distinct()
+    # Dealt anew by place: rows of a hot gram need not meet.
+    return several(found, "gram", ["text_id", "at"]).repartition("text_id", "at").distinct()
 
 
 # ---- front-coded runs
@@ -388,8 +391,7 @@ def starts(texts: DataFrame) -> DataFrame:
     if hot.isEmpty():
         return merged
     windows = stored(digests(with_units(texts, found.join(hot, "gram", "left_semi"))), "hot-windows")
-    # Written before the union, so that Spark splits the windows of a hot digest in the join.
-    again = stored(windows.join(several(windows, "window", ["text_id", "first"]), "window").select("text_id", "first"), "hot-repeats")
+    again = stored(several(windows, "window", ["text_id", "first"]).select("text_id", "first"), "hot-repeats")
     return merged.union(again.select("text_id", "first", F.col("first").alias("last")))
 
 
