@@ -24,8 +24,22 @@ def build_session(app: str = "pricewatch", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, else the SQL warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the SQL warehouse. On a cluster a warehouse on the driver's own
+    disk is refused."""
+    if configured := spark.conf.get("spark.checkpoint.dir", None):
+        return configured
+    warehouse, master = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+    if on_one_machine(master) or not is_local(warehouse):
+        return warehouse
+    raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share; the warehouse {warehouse} is local")
+
+
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def is_local(path: str) -> bool:
+    return path.startswith("file:")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

@@ -22,7 +22,7 @@ def test_scan_reads_two_columns_and_pushes_the_filter(plan):
     assert "ReadSchema: struct<event_type:string,value:double>" in p
     assert "PushedFilters: [IsNotNull(value), GreaterThan(value,0.0), LessThan(value,Infinity)]" in p
     assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 1
-    assert "partial_stddev" in p
+    assert "partial_var_pop" in p
 
 
 @pytest.mark.parametrize("query", [q.volatility_cv, q.trend_periodic, q.price_alert, q.news_counts_by_daypart])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from settings import SF
-from pricewatch import schemas
+from pricewatch import schemas, session
 from pricewatch.operators import clean, enrich
 from pricewatch.plans import lakehouse, queries
 from pricewatch.session import drop_folder, new_dir, shared_dir
@@ -26,6 +26,11 @@ def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_local_folders_are_refused_on_a_cluster():
+    assert session.on_one_machine("local[8]") and session.on_one_machine("local") and not session.on_one_machine("local-cluster[2,1,1024]")
+    assert session.is_local("file:/tmp/w") and not session.is_local("hdfs://n/w") and not session.is_local("s3a://b/w")
+
+
 def test_wire_files_with_a_broken_one(spark, tmp_path):
     price = {"komoditas": "beras", "harga": 14500.5, "jam": "08:00:00", "topic": "p", "message_id": "x"}
     news = {"title": "é", "timestamp": "2026-03-06 08:00:00", "komoditas": "umum", "topic": "n"}
