@@ -13,6 +13,7 @@ SPACES = (
 # ------------------------------------------------------------------------------------------
 TAG = r"<[^>]+>"
 OUTSIDE = r"[^\p{L}\p{N}_]"
+WORD = r"[\p{L}\p{N}_]+"
 
 
 def normal_key(c: Column | str) -> Column:

@@ -1,6 +1,8 @@
 """Partition-wise changes, cleaning in batches, mergeable statistics, keyword tables."""
 
 import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from settings import SF
 from pricewatch import schemas
 from pricewatch.operators import clean, dedup, enrich, keywords, moments, sketches, volatility
 from pricewatch.plans import incremental, queries
-from pricewatch.session import new_dir
+from pricewatch.session import new_dir, stored
 from pricewatch.sources import adapters
 from pricewatch.sources.partitioned import PartitionedTable
 
@@ -124,6 +126,32 @@ def test_keywords_with_odd_characters(spark):
     assert rows_of(keywords.mentions(df, table, "id", "body").select("id", "tag")) == [(1, "x"), (3, "z")]
 
 
+def test_words_that_stand_apart_are_no_candidates(spark, monkeypatch):
+    """Frequent words of a phrase, none of them rare, do not bring their texts in; texts are not looked at for pairs."""
+    seen = {}
+    monkeypatch.setattr(keywords, "stored", lambda df, label: seen.setdefault(label, stored(df, label)))
+    monkeypatch.setattr(keywords, "_stands", None)
+    body = F.when(F.col("id") % 50 == 0, F.lit("no, The  Big end")).otherwise(F.lit("big is the end"))
+    df = spark.range(500).select("id", body.alias("body"))
+    table = spark.createDataFrame([("the  big", "x", 0), ("big end", "x", 0), ("the big", "x", 0), ("end", "y", 1)], "keyword string, tag string, rank int")
+    got = keywords.mentions(df, table, "id", "body").groupBy("keyword").count()
+    assert rows_of(got) == [("big end", 10), ("end", 500), ("the  big", 10)]
+    assert seen["keyword-candidates"].count() == 520
+
+
+def test_keywords_of_any_length_against_brute_force(spark):
+    rng = random.Random(3)
+    make = lambda low, high: "".join(rng.choice(["a", "B", "ç", "x1", "_"]) + rng.choice([" ", " ", ", ", "-", "\n"]) for _ in range(rng.randint(low, high)))
+    texts = [rng.choice(["", "("]) + make(0, 30) + rng.choice(["", "b"]) for _ in range(150)] + [None]
+    keys = sorted({rng.choice(["", "("]) + make(1, 4)[: rng.choice([-1, None])] for _ in range(300)})
+    table = spark.createDataFrame([(k, "t", 0) for k in keys], "keyword string, tag string, rank int")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string")
+    got = {(r.id, r.keyword) for r in keywords.mentions(df, table, "id", "body").collect()}
+    lowered = {k.lower() for k in keys if re.search(r"\w", k)}
+    want = {(i, k) for i, t in enumerate(texts) if t for k in lowered if re.search(rf"(?<!\w){re.escape(k)}(?!\w)" if k[0] != "(" and k[-1].isalnum() else rf"(?:\A|\W){re.escape(k)}(?:\W|\Z)", t.lower())}
+    assert got == want and len(got) > 300
+
+
 def test_null_and_empty_texts_do_not_tie(spark):
     rows = [("k", None, "b", {"x": 1}), ("k", "", "b", {"x": 1}), ("k", "", "b", {"x": 2})]
     df = spark.createDataFrame(rows, "k string, a string, z string, m map<string,int>")
