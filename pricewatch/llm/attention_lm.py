@@ -11,7 +11,7 @@ are the signs of the first principal components of the documents' byte frequenci
 from the words before.
 
 What the corpus gives covers all training rows: byte moments, word counts by kind, the id-to-id counts, and steps on every
-``TRAIN_EVERY``-th run of words of each document; partitions train side by side and their parameters are averaged. Counts of
+run of words of each document; partitions train side by side and their parameters are averaged. Counts of
 the ``KNOWN_WORDS`` most frequent words are broadcast (a bounded list); all other words' counts are joined by shuffle to the
 documents that hold them before any is trained on or scored, so how long the list is does not change a score.
 
@@ -27,7 +27,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain, repeat
+from itertools import batched, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +43,8 @@ KNOWN_WORDS = 200_000
 #: Ids of a block; a window is two of them.
 BLOCK = 16
 DIM = 16
-#: Words of a training run, and which of a document's runs the gradient sees.
-RUN_WORDS, TRAIN_EVERY = 64, 16
+#: Words of a training run, and runs of a gradient step.
+RUN_WORDS, STEP_RUNS = 64, 64
 RATE = 0.05
 WEIGHTS = (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 #: Words counted before a flush.
@@ -248,6 +248,13 @@ def attend(p: np.ndarray, ids: np.ndarray, chunk: int = BLOCKS_AT_ONCE) -> tuple
 
 def gradient(p: np.ndarray, ids: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, float, int]:
     """Gradient of the negative log-likelihood over ``ids``, the loss and the number of ids; ``inside``: their corpus share."""
+    g, prob = step(p, ids, inside)
+    prob = prob[ids[BLOCK:] != PAD]
+    return g, float(-np.log(prob).sum()), len(prob)
+
+
+def step(p: np.ndarray, ids: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gradient, and the probability of each id from the second block on."""
     c = contexts(ids)
     wq, wk, _, _ = _unpack(p)
     q, k, (offset, small) = c @ wq, c @ wk, _pair_bias(p)
@@ -272,7 +279,7 @@ def gradient(p: np.ndarray, ids: np.ndarray, inside: np.ndarray) -> tuple[np.nda
     dk[1:] += dk_pairs[:, BLOCK:]
     d_bias = np.bincount((np.maximum(_DISTANCE, 0) % (2 * BLOCK)).ravel(), weights=dz.sum(axis=0).ravel(), minlength=2 * BLOCK)
     g = np.concatenate([(c[BLOCK:].T @ dq.reshape(-1, DIM)).ravel(), (c.T @ dk.reshape(-1, DIM)).ravel(), d_bias, [d_null]])
-    return g, float(-np.log(prob[real]).sum()), int(real.sum())
+    return g, prob.ravel()
 
 
 def inside_words(ids: np.ndarray, begins: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -386,20 +393,26 @@ class Scorer:
         values = (1 - COMMON) * kinds / np.maximum(self.by_kind, 1) + COMMON * shared[:, None]
         return np.hstack([np.log(values + 1e-300), values])
 
-    def look_up(self, found: list[bytes], places: np.ndarray, others: list[tuple[list[bytes], np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        """Shares and count of each word; ``others``: words outside the list that the texts hold, and their counts by kind."""
-        rows, counts = self.rows[places], self.counts[places]
+    def unlisted(self, others: Iterable[tuple[list[bytes], np.ndarray]]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+        """Places, shares and counts of the words outside the list that texts hold, from these words and their counts by kind."""
         at: dict[bytes, int] = {}
-        for w in chain.from_iterable(w for w, _ in others):
+        parts = [(w, c) for w, c in others if w]
+        for w in chain.from_iterable(w for w, _ in parts):
             at.setdefault(w, len(at))
+        kinds = np.empty((len(at), KINDS))
+        for w, c in parts:
+            kinds[[at[x] for x in w]] = c
+        return at, self.shares_of(kinds), kinds.sum(axis=1)
+
+    def look_up(self, found: list[bytes], places: np.ndarray, others: tuple[dict[bytes, int], np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Shares and count of each word; ``others``: of :meth:`unlisted`."""
+        rows, counts = self.rows[places], self.counts[places]
+        at, shared, each = others
         if at:
-            kinds = np.empty((len(at), KINDS))
-            for w, c in others:
-                kinds[[at[x] for x in w]] = c
             unlisted = np.flatnonzero(places == len(self.rows) - 1)
             own = np.array([at.get(found[i], -1) for i in unlisted.tolist()], dtype=np.int64)
             unlisted, own = unlisted[own >= 0], own[own >= 0]
-            rows[unlisted], counts[unlisted] = self.shares_of(kinds)[own], kinds.sum(axis=1)[own]
+            rows[unlisted], counts[unlisted] = shared[own], each[own]
         return rows, counts
 
     def own_share(self, rows: np.ndarray, counts: np.ndarray, sizes: list[int], left_out: int = 0) -> np.ndarray:
@@ -468,32 +481,32 @@ def _others(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], np.ndarray]]:
         yield found.as_py() or [], np.array(counts.as_py() or [], dtype=np.float64).reshape(-1, KINDS)
 
 
+def _runs(texts: pa.Array) -> Iterator[list[bytes]]:
+    """All words of all texts in runs; a text without words is an empty run."""
+    for text in texts:
+        found = words(text.as_py())
+        for at in range(0, max(len(found), 1), RUN_WORDS):
+            yield found[at : at + RUN_WORDS]
+
+
 def _train(share):
-    """Local gradient steps over a partition's runs; gives the parameters times the steps, the steps, and the weights' losses."""
+    """Local gradient steps over all runs of a partition; gives the parameters times the steps, the steps, and the weights' losses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Scorer(*share.value)
         memory, steps, losses = np.zeros_like(s.p), 0, np.zeros(len(WEIGHTS))
         for batch in batches:
-            runs: list[list[bytes]] = []
-            texts: list[int] = []
-            others = list(_others(batch))
-            for number, text in enumerate(batch.column("text")):
-                found = words(text.as_py())
-                n = -(-len(found) // RUN_WORDS)
-                runs += [found[i * RUN_WORDS : (i + 1) * RUN_WORDS] for i in range(len(found) % TRAIN_EVERY % max(n, 1), n, TRAIN_EVERY)]
-                texts += [number] * (len(runs) - len(texts))
-            for at in range(0, len(runs), 64):
-                part = runs[at : at + 64]
+            others = s.unlisted(_others(batch))
+            for part in batched(_runs(batch.column("text")), STEP_RUNS):
                 found, known, stream, begins, sizes = s.listed.streams(part)
                 ids, places = lay_out(np.split(stream, np.cumsum(sizes)[:-1]))
                 inside = np.ones(len(ids))
                 inside[places] = inside_words(stream, begins, s.table)
-                g, _, n = gradient(s.p, ids, inside)
-                g /= n
+                g, prob = step(s.p, ids, inside)
+                g /= len(stream)
                 memory += g * g
-                logs = np.exp(s.word_log(stream, begins, sizes))
-                own = s.own_share(*s.look_up(found, known, [others[i] for i in sorted(set(texts[at : at + 64]))]), [len(r) + 1 for r in part], 1)
+                logs = np.exp(np.add.reduceat(np.log(prob[places - BLOCK] + 1e-30), begins))
+                own = s.own_share(*s.look_up(found, known, others), [len(r) + 1 for r in part], 1)
                 losses += [-np.log((1 - w) * own + w * logs + 1e-300).sum() for w in WEIGHTS]
                 s.p = s.p - RATE * g / (np.sqrt(memory) + 1e-8)
                 steps += 1
@@ -533,7 +546,7 @@ def _scored(s: Scorer, texts: list[list[bytes]], others: list[tuple[list[bytes],
     """(n_tokens, base, counted words, score) of each text."""
     found, places, stream, begins, ids_each = s.listed.streams(texts)
     logs = s.word_log(stream, begins, ids_each)
-    rows, counts = s.look_up(found, places, others)
+    rows, counts = s.look_up(found, places, s.unlisted(others))
     sizes = [len(t) + 1 for t in texts]
     begins = np.cumsum(sizes) - sizes
     mixed = np.log10((1 - s.weight) * s.own_share(rows, counts, sizes) + s.weight * np.exp(logs) + 1e-300)

@@ -2,8 +2,10 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from pricewatch.llm import attention_lm as lm
 
 
@@ -116,5 +118,24 @@ def test_scores_do_not_depend_on_the_length_of_the_list(docs, monkeypatch):
         assert abs(r.score - want[r.doc_id].score) < 0.002 * abs(want[r.doc_id].score)
 
 
+def test_training_sees_every_word(monkeypatch):
+    rng = random.Random(9)
+    texts = [make(rng, n).encode() for n in (0, 1, 64, 65, 5000, 200, 1300)]
+    seen, streams = [], lm.Listed.streams
+    monkeypatch.setattr(lm.Listed, "streams", lambda self, part: seen.extend(part) or streams(self, part))
+    known = [lm.END_WORD], np.full((1, lm.KINDS), 7.0)
+    value = ("every-word", lm.vocabulary_path(), known, np.full(lm.KINDS, 9.0), 2, np.full((lm.IDS, lm.IDS), 1 / lm.IDS), lm.first_parameters(), 0.3)
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts, pa.binary()), pa.array([[b"the"]] * n, pa.list_(pa.binary())), pa.array([[2] * lm.KINDS] * n, pa.list_(pa.int64()))],
+        names=["text", "others", "other_counts"],
+    )
+    out = list(lm._train(SimpleNamespace(value=value))(iter([batch])))
+    assert [w for run in seen for w in run] == [w for t in texts for w in t.split()]
+    assert [len(run) for run in seen[:5]] == [0, 1, 64, 64, 1] and max(map(len, seen)) == 64
+    values = out[0].column("v").to_numpy()
+    assert values[len(lm.first_parameters())] == -(-len(seen) // 64) and (values[-len(lm.WEIGHTS) :] > 0).all()
+
+
 def test_empty(docs):
     assert lm.score(docs()).count() == 0
