@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from settings import SF
 from pricewatch.operators import alerts
+from pricewatch.plans import queries
 from pricewatch.session import drop_folder, new_dir, subfolders
 from pricewatch.sources import adapters, files, streams
 from pricewatch.sources.snapshots import SnapshotTable
@@ -161,6 +162,16 @@ def test_dedup_of_a_hot_article(spark, remember):
         assert spans.read(spark, f"{root}/out/archive", "_key string, _prefix string").count() > 0
 
 
+def test_archived_dedup_input_is_not_written_by_one_task(spark, monkeypatch):
+    sf, made = new_dir(spark, "tables"), []
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 300).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(8).alias("n_chars"))
+    docs.repartition(4).write.parquet(f"{sf}/documents.parquet")
+    monkeypatch.setattr(queries, "new_dir", lambda s, label: made.append(new_dir(s, label)) or made[-1])
+    assert queries.stream_dedup_archived(spark, sf).select("link").distinct().count() == 300
+    written = spark.read.parquet(made[0]).groupBy(F.col("_metadata.file_path")).count()
+    assert written.agg(F.sum("count"), F.max("count") <= 150).first()[:] == (440, True)
+
+
 def test_combiner_keeps_the_earliest(spark):
     rows = [("a", 5, "x"), ("a", 3, "z"), ("a", 3, "y"), ("b", None, "x"), ("b", 9, "w"), ("c", None, "q")]
     df = spark.createDataFrame(rows, "_key string, _time long, _digest string").coalesce(1)
