@@ -56,20 +56,21 @@ class IncrementalClean:
         return rows.withColumn("_digest", digest).withColumn("_bucket", F.conv(F.substring("_digest", 1, 2), 16, 10).cast("int") % self.buckets)
 
     def add(self, batch: DataFrame) -> None:
-        """Merge a batch of raw rows. A repeated batch changes nothing."""
-        raw = self.raw.names
-        new = stored(self._finished(self.cleaning.dedup(batch.select(*raw))), "new-rows")
-        keyed = stored(self._keyed(new).select("_digest", "_date", "_bucket"), "new-keys")
-        buckets = keyed.select("_bucket").distinct()
+        """Merge a batch of raw rows. A repeated batch changes nothing.
+
+        The batch is read twice, for its keys and dates and for its rows, and has to give the same rows; write one first that may not.
+        """
+        batch = batch.select(*self.raw.names)
+        keyed = stored(self._keyed(self._finished(batch)).select("_digest", "_date", "_bucket").distinct(), "new-keys")
+        buckets, own = keyed.select("_bucket").distinct(), keyed.select("_digest").distinct()
         known = stored(self.keys.in_partitions(buckets), "known-keys")
-        old = known.join(keyed.select("_digest"), "_digest", "left_semi")
-        touched = stored(new.select("_date").union(old.select("_date")).distinct(), "touched-dates")
+        old = known.join(own, "_digest", "left_semi")
+        touched = stored(keyed.select("_date").union(old.select("_date")).distinct(), "touched-dates")
         # One row of each key among the old rows of the touched dates and the new ones.
-        both = self.rows.in_partitions(touched).select(*raw).unionByName(new.select(*raw))
-        rows = stored(self._finished(self.cleaning.dedup(both)), "merged-rows")
-        moved = self._keyed(rows).select("_digest", "_date", "_bucket").join(keyed.select("_digest").distinct(), "_digest", "left_semi")
-        kept = known.join(keyed.select("_digest"), "_digest", "left_anti")
-        self.rows.replace(rows, touched)
+        both = self.rows.in_partitions(touched).select(*self.raw.names).unionByName(batch)
+        self.rows.replace(self._finished(self.cleaning.dedup(both)), touched)
+        moved = self._keyed(self.rows.in_partitions(touched)).select("_digest", "_date", "_bucket").join(own, "_digest", "left_semi")
+        kept = known.join(own, "_digest", "left_anti")
         self.keys.replace(kept.unionByName(moved), buckets)
 
     def tagged(self) -> DataFrame:

@@ -32,21 +32,26 @@ class PartitionedTable:
         rows = self.read()
         return rows.join(partitions, self.same_partition(rows, partitions), "left_semi")
 
+    def _files(self, partitions: DataFrame) -> dict[str, set[str]]:
+        """The files of the named partitions by folder."""
+        found: dict[str, set[str]] = {}
+        if folder_exists(self.spark, self.path):
+            for (file,) in self.in_partitions(partitions).select("_metadata.file_path").distinct().collect():
+                found.setdefault(file.rpartition("/")[0], set()).add(file)
+        return found
+
     def replace(self, rows: DataFrame, touched: DataFrame) -> None:
         """Put ``rows`` in the place of all rows of the ``touched`` partitions. Others are neither read nor written.
 
-        ``rows`` may come from this table: they are written to the shared folder first. Partitions left without rows are removed.
+        ``rows`` may come from this table, whose old files stay until all new ones are written. Partitions left without rows are removed.
         """
-        rows = stored(rows.select(*self.schema.names), "partitions")
-        filled = rows.select(*self.partition_by).distinct()
-        emptied = touched.join(filled, self.same_partition(touched, filled), "left_anti")
-        gone = []
-        if folder_exists(self.spark, self.path):
-            folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-            gone = [r[0] for r in self.in_partitions(emptied).select(folder).distinct().collect()]
-        rows.hint("rebalance", *self.partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by).parquet(self.path)
-        for folder in gone:
-            drop_folder(self.spark, folder)
+        before = self._files(touched)
+        rows = rows.select(*self.schema.names).hint("rebalance", *self.partition_by)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by).parquet(self.path)
+        after = self._files(touched) if before else {}
+        for folder, files in before.items():
+            if after.get(folder) == files:  # not written anew
+                drop_folder(self.spark, folder)
 
     def _rewrite(self, condition: Column, change) -> None:
         hit = F.coalesce(condition, F.lit(False))

@@ -12,7 +12,7 @@ from pricewatch import schemas
 from pricewatch.operators import clean, dedup, enrich, keywords, moments, sketches, volatility
 from pricewatch.plans import incremental, queries
 from pricewatch.session import new_dir, stored
-from pricewatch.sources import adapters
+from pricewatch.sources import adapters, partitioned
 from pricewatch.sources.partitioned import PartitionedTable
 
 
@@ -78,6 +78,19 @@ def test_a_batch_rewrites_touched_dates_only(spark):
     assert table.rows.read().count() == raw.count() + 3
 
 
+def test_a_batch_writes_its_rows_once(spark, monkeypatch):
+    """Beside the table itself, only keys and dates are written; the rows that a change reads are those of the table."""
+    written = []
+    for module in (incremental, partitioned):
+        monkeypatch.setattr(module, "stored", lambda df, label: written.append(set(df.columns)) or stored(df, label))
+    table = incremental.IncrementalClean(spark, new_dir(spark, "clean"), schemas.MIXED, incremental.NEWS, queries.SETTINGS, buckets=4)
+    raw = adapters.mixed(spark, SF).filter("topic = 'news'")
+    for part in (raw.limit(50), raw, raw.limit(50)):
+        table.add(part)
+    assert len(written) == 9 and set().union(*written) == {"_digest", "_date", "_bucket"}
+    assert table.rows.read().count() == raw.select("link").distinct().count()
+
+
 def test_moments_merge_exactly(spark):
     ticks = adapters.ticks(spark, SF).withColumn("price", F.col("price") + 1e6)  # far from zero: naive sums of squares would lose digits
     fine = moments.collect(ticks, ["commodity", "day", "hour"])
