@@ -6,6 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt by a digest of all that they hold, for :func:`keep_one` over Parquet of narrow rows.
+
+    Tasks sort their rows before the shuffle to keep one a key, and a task that reads Parquet may hold very many: rows with
+    many absent or repeated values take a few bytes there. Here a task holds no more than a shuffle partition, and adaptive execution splits
+    a large one.
+    """
+    plain = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct"))]
+    return df.withColumn("_spread", F.xxhash64(*plain)).hint("rebalance", "_spread").drop("_spread")
+
+
 def keep_one(df: DataFrame, keys: list[str], prefer: list[Column] | None = None) -> DataFrame:
     """One row per key; null keys count as equal.
 

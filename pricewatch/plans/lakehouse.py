@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricewatch.functions import times
 from pricewatch.operators import alerts, clean, correlate, enrich, moments, volatility
+from pricewatch.operators.dedup import spread
 from pricewatch.session import stored
 from pricewatch.sinks import documents
 from pricewatch.sources.snapshots import SnapshotTable
@@ -40,7 +41,7 @@ class Lakehouse:
         the table, the rejects and the counts.
         """
         for name, rule in (("prices", clean.tagged_prices), ("news", clean.tagged_news)):
-            rows = rule(self.table("bronze", name).read(), self.settings)
+            rows = rule(spread(self.table("bronze", name).read()), self.settings)
             self.table("silver", name).overwrite(enrich.add_audit(rows))
 
     def cleaned(self, name: str) -> DataFrame:

@@ -22,6 +22,25 @@ def write(path, body):
         f.write(body if isinstance(body, str) else json.dumps(body, ensure_ascii=False))
 
 
+def test_silver_deals_the_raw_rows_out(spark, monkeypatch):
+    """One small file of narrow rows, one key: no task sorts all of them."""
+    house = lakehouse.Lakehouse(spark, new_dir(spark, "house"), queries.SETTINGS)
+    rows = schemas.to_mixed(spark.range(4000).select(F.lit("m").alias("message_id"), F.lit("view").alias("commodity"), F.col("id").cast("double").alias("price"), F.lit("prices").alias("topic")))
+    for name in ("prices", "news"):
+        house.bronze(name, rows.coalesce(1), "feed")
+    seen, tagged = [], clean.tagged_prices
+    monkeypatch.setattr(clean, "tagged_prices", lambda df, settings: seen.append(df) or tagged(df, settings))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        house.silver()
+        each = seen[0].groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert each[0] == 4000 and each[1] < 1000
+    assert house.table("silver", "prices").read().count() == 1
+
+
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
