@@ -43,8 +43,8 @@ KNOWN_WORDS = 200_000
 #: Ids of a block; a window is two of them.
 BLOCK = 16
 DIM = 16
-#: Words of a training run, and runs of a gradient step.
-RUN_WORDS, STEP_RUNS = 64, 64
+#: Words of a training run, runs of a gradient step, and texts whose unlisted words are held at once meanwhile.
+RUN_WORDS, STEP_RUNS, TEXTS_AT_ONCE = 64, 64, 1000
 RATE = 0.05
 WEIGHTS = (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 #: Words counted before a flush.
@@ -269,15 +269,14 @@ def step(p: np.ndarray, ids: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray
     share = inside[BLOCK:].reshape(-1, BLOCK)
     prob = (hit + e * share) / total
     w *= (real / total).astype(np.float32)[:, :, None]
-    dz = w.copy()
-    dz.ravel()[found] -= w.ravel()[found] / prob.ravel()[found // (2 * BLOCK)].astype(np.float32)
+    w.ravel()[found] *= 1 - 1 / prob.ravel()[found // (2 * BLOCK)].astype(np.float32)
     d_null = float(np.where(real, e / total * (1 - share / prob), 0.0).sum())
-    dq = np.matmul(dz, keys)
-    dk_pairs = np.matmul(dz.transpose(0, 2, 1), queries)
+    dq = np.matmul(w, keys)
+    dk_pairs = np.matmul(w.transpose(0, 2, 1), queries)
     dk = np.zeros((len(ids) // BLOCK, BLOCK, DIM), dtype=np.float32)
     dk[:-1] += dk_pairs[:, :BLOCK]
     dk[1:] += dk_pairs[:, BLOCK:]
-    d_bias = np.bincount((np.maximum(_DISTANCE, 0) % (2 * BLOCK)).ravel(), weights=dz.sum(axis=0).ravel(), minlength=2 * BLOCK)
+    d_bias = np.bincount((np.maximum(_DISTANCE, 0) % (2 * BLOCK)).ravel(), weights=w.sum(axis=0).ravel(), minlength=2 * BLOCK)
     g = np.concatenate([(c[BLOCK:].T @ dq.reshape(-1, DIM)).ravel(), (c.T @ dk.reshape(-1, DIM)).ravel(), d_bias, [d_null]])
     return g, prob.ravel()
 
@@ -495,7 +494,7 @@ def _train(share):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Scorer(*share.value)
         memory, steps, losses = np.zeros_like(s.p), 0, np.zeros(len(WEIGHTS))
-        for batch in batches:
+        for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
             others = s.unlisted(_others(batch))
             for part in batched(_runs(batch.column("text")), STEP_RUNS):
                 found, known, stream, begins, sizes = s.listed.streams(part)
