@@ -24,13 +24,12 @@ from __future__ import annotations
 import base64
 import math
 import uuid
-from array import array
-from collections import Counter
-from collections.abc import Iterable, Iterator
-from itertools import batched, chain, repeat
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +42,12 @@ KNOWN_WORDS = 200_000
 #: Ids of a block; a window is two of them.
 BLOCK = 16
 DIM = 16
-#: Words of a training run, runs of a gradient step, and texts whose unlisted words are held at once meanwhile.
-RUN_WORDS, STEP_RUNS, TEXTS_AT_ONCE = 64, 64, 1000
+#: Words of a training run, runs of a gradient step, and texts that are split and whose unlisted words are held at once, or their bytes.
+RUN_WORDS, STEP_RUNS, TEXTS_AT_ONCE, BYTES_AT_ONCE = 64, 64, 1000, 2_000_000
 RATE = 0.05
 WEIGHTS = (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
-#: Words counted before a flush.
-CACHE_WORDS = 300_000
+#: Words by kind that are counted before a flush, and rows that are given to Spark at once.
+CACHE_WORDS, ROWS_AT_ONCE = 300_000, 10_000
 BLOCKS_AT_ONCE = 256
 #: Words of the texts that are scored together.
 WORDS_AT_ONCE = 10_000
@@ -69,11 +68,38 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-def words(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one behind the other, and how many each text has. Bytes that are no UTF-8 pass as they are."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string() if pa.types.is_binary(texts.type) else pa.large_string())))
+    found, sizes = parts.flatten(), pc.list_value_length(parts).to_numpy()
+    if len(blank := np.flatnonzero(pc.equal(pc.binary_length(found), 0).to_numpy(zero_copy_only=False))):  # before or behind white space
+        found = found.filter(pc.not_equal(pc.binary_length(found), 0))
+        sizes = sizes - np.bincount(np.searchsorted(np.cumsum(sizes), blank, side="right"), minlength=len(sizes))
+    return found.view(texts.type), sizes.astype(np.int64)
 
 
-_END_BYTES = np.int16(END).tobytes()
+def pieces_of(batches: Iterable[pa.RecordBatch], share: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``TEXTS_AT_ONCE`` texts and, but for single texts, ``BYTES_AT_ONCE`` bytes, or a share of those."""
+    for batch in batches:
+        ends, at = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64), 0
+        while at < batch.num_rows:
+            most = (ends[at - 1] if at else 0) + BYTES_AT_ONCE // share
+            n = min(max(1, int(np.searchsorted(ends, most, side="right")) - at), TEXTS_AT_ONCE)
+            yield batch.slice(at, n)
+            at += n
+
+
+class Run:
+    """Words ``begin`` to ``end`` of those found, their places in the list (its length for others), and the others."""
+
+    def __init__(self, found: pa.Array, begin: int, end: int, places: np.ndarray, others: list[bytes]):
+        self.found, self.begin, self.end, self.places, self.others = found, begin, end, places, others
+
+    def __len__(self) -> int:
+        return self.end - self.begin
+
+    def __iter__(self) -> Iterator[bytes]:
+        return iter(self.found.slice(self.begin, len(self)).to_pylist())
 
 
 class Subwords:
@@ -85,45 +111,77 @@ class Subwords:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines) if int(b) < PIECES}
         self.bpe = tiktoken.Encoding("subwords", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.encode = self.bpe._core_bpe.encode_single_piece
 
     def of(self, word: bytes) -> bytes:
+        return self.flat([word])[0].tobytes()
+
+    def pieces(self, word: bytes) -> list[int]:
+        """The ranks of a word's subwords; the end token's id less ``PIECES``."""
         if word == END_WORD:
-            return _END_BYTES
+            return [END - PIECES]
         # Long strings without white space are cut, as the merges of one piece take time with its square.
-        ids = [i for at in range(0, len(word), 256) for i in self.bpe._encode_single_piece(word[at : at + 256])]
-        ids[-1] += PIECES
-        return array("h", ids).tobytes()
+        return [i for at in range(0, len(word), 256) for i in self.encode(word[at : at + 256])]
 
     def flat(self, found: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words one behind the other, and how many each has."""
-        parts = list(map(self.of, found))
-        return np.frombuffer(b"".join(parts), dtype=np.int16), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 2
+        encode = self.encode
+        parts = [encode(w) if len(w) <= 256 and w != END_WORD else self.pieces(w) for w in found]
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        ids = np.fromiter(chain.from_iterable(parts), dtype=np.int16, count=sizes.sum())
+        ids[np.cumsum(sizes) - 1] += PIECES
+        return ids, sizes
 
 
 class Listed:
     """The listed words with their ids. All else that texts hold is spelt when it is met."""
 
     def __init__(self, path: str, found: list[bytes]):
-        self.subwords, self.place = Subwords(path), {w: i for i, w in enumerate(found)}
-        self.ids, self.sizes = self.subwords.flat(found)
-
-    def streams(self, texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of the texts' words and ends: the words, their places in the list (its length for others), all ids, where each word's begin, and
-        the number of ids of each text."""
-        found = list(chain.from_iterable(chain(t, (END_WORD,)) for t in texts))
-        places = np.fromiter(map(self.place.get, found, repeat(len(self.place))), dtype=np.int64, count=len(found))
-        others = np.flatnonzero(places == len(self.place)).tolist()
-        at = dict.fromkeys(found[i] for i in others)
-        at = {w: i for i, w in enumerate(at)}
-        more, more_sizes = self.subwords.flat(at)
-        ids, sizes = np.concatenate([self.ids, more]), np.concatenate([self.sizes, more_sizes])
-        row = places.copy()
-        row[others] = [len(self.place) + at[found[i]] for i in others]
-        own = sizes[row]
-        begins = np.cumsum(own) - own
-        taken = np.repeat((np.cumsum(sizes) - sizes)[row] - begins, own) + np.arange(own.sum())
-        words_each = np.array([len(t) + 1 for t in texts])
-        return found, places, ids[taken], begins, np.add.reduceat(own, np.cumsum(words_each) - words_each)
+        self.subwords, self.found = Subwords(path), pa.array(found, pa.binary())
+        spelt = [self.subwords.flat(some) for some in batched(found, ROWS_AT_ONCE)] or [self.subwords.flat([])]
+        self.ids, sizes = (np.concatenate(x) for x in zip(*spelt, strict=True))
+        self.end = len(self.ids)
+        #: With a last row for words that are not listed.
+        self.sizes, self.begins = np.append(sizes, 0), np.append(np.cumsum(sizes) - sizes, self.end)
+        self.text_end = np.array([found.index(END_WORD) if END_WORD in found else len(found)])
+
+    def runs(self, texts: pa.Array, most: int | None = None) -> Iterator[Run]:
+        """All words of all texts in runs of ``most`` words, else whole; a text without words is an empty run."""
+        found, sizes = split(texts)
+        places = pc.fill_null(pc.index_in(found, value_set=self.found.cast(found.type)), len(self.found)).to_numpy()
+        at = np.flatnonzero(places == len(self.found))
+        others = found.take(pa.array(at)).to_pylist()
+        each = np.maximum(-(-sizes // most), 1) if most else np.ones_like(sizes)
+        ends = np.repeat(np.cumsum(sizes), each)
+        begins = ends - np.repeat(sizes, each) + (np.arange(len(ends)) - np.repeat(np.cumsum(each) - each, each)) * (most or 0)
+        ends = np.minimum(ends, begins + most) if most else ends
+        for begin, end, first, last in zip(*(x.tolist() for x in (begins, ends, np.searchsorted(at, begins), np.searchsorted(at, ends))), strict=True):
+            yield Run(found, begin, end, places[begin:end], others[first:last])
+
+    def streams(self, runs: Sequence[Run]) -> tuple[np.ndarray, dict[int, bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Of the runs' words and an end behind each: the places in the list (its length for others), the others by where they stand, all
+        ids, where each word's begin, and the number of ids of each run."""
+        places = np.concatenate([x for r in runs for x in (r.places, self.text_end)])
+        run_ends = np.cumsum([len(r) + 1 for r in runs])
+        own, source = self.sizes.take(places), self.begins.take(places)
+        others = np.flatnonzero(places == len(self.found))
+        ends = [END_WORD] if self.text_end[0] == len(self.found) else []
+        words = [w for r in runs for w in chain(r.others, ends)]
+        at: dict[bytes, int] = {}
+        rows = [at.setdefault(w, len(at)) for w in words]
+        more, sizes = self.subwords.flat(at)
+        # Behind the listed words' ids, which stay, come those of the other words.
+        if len(self.ids) < self.end + len(more):
+            self.ids = np.concatenate([self.ids[: self.end], more, more])
+        self.ids[self.end : self.end + len(more)] = more
+        own[others], source[others] = sizes[rows], (np.cumsum(sizes) - sizes)[rows] + self.end
+        begins = np.cumsum(own)
+        total = int(begins[-1])
+        begins -= own
+        source -= begins
+        taken = np.repeat(source, own)
+        taken += np.arange(total)
+        return places, dict(zip(others.tolist(), words, strict=True)), self.ids.take(taken), begins, np.add.reduceat(own, np.append(0, run_ends[:-1]))
 
 
 _kept: dict[str, Listed] = {}
@@ -168,20 +226,23 @@ MASKED = -50.0
 
 def lay_out(streams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The ids of several texts in blocks, each behind a block of padding, and the places of the ids."""
-    sizes = [(-(-len(s) // BLOCK) + 1) * BLOCK for s in streams]
-    ids = np.full(sum(sizes), PAD, dtype=np.int16)
-    places, at = [], 0
-    for s, size in zip(streams, sizes, strict=True):
-        ids[at + BLOCK : at + BLOCK + len(s)] = s
-        places.append(np.arange(at + BLOCK, at + BLOCK + len(s)))
-        at += size
-    return ids, np.concatenate(places) if places else np.empty(0, dtype=np.int64)
+    return lay_out_flat(np.concatenate(streams), np.array([len(s) for s in streams])) if streams else lay_out_flat(np.empty(0, np.int16), np.empty(0, np.int64))
+
+
+def lay_out_flat(stream: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`lay_out` of texts one behind the other, from the number of ids of each."""
+    blocks = (-(-sizes // BLOCK) + 1) * BLOCK
+    ids = np.full(blocks.sum(), PAD, dtype=np.int16)
+    places = np.repeat(np.cumsum(blocks) - blocks + BLOCK - (np.cumsum(sizes) - sizes), sizes)
+    places += np.arange(len(stream))
+    ids[places] = stream
+    return ids, places
 
 
 def contexts(ids: np.ndarray) -> np.ndarray:
     """A row per id: the codes of the two ids before it."""
     one, two = _before(ids)
-    return np.concatenate([CODES[one], CODES[two]], axis=1)
+    return np.concatenate([CODES.take(one, axis=0), CODES.take(two, axis=0)], axis=1)
 
 
 def _pairs(x: np.ndarray) -> np.ndarray:
@@ -190,12 +251,20 @@ def _pairs(x: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(x, (len(x) // BLOCK - 1, 2 * BLOCK, *x.shape[1:]), (step * BLOCK, step, *x.strides[1:]), writeable=False)
 
 
+def _pairs_across(x: np.ndarray) -> np.ndarray:
+    """The same of a matrix with a column per id: (blocks - 1) x rows x 2 BLOCK."""
+    across, along = x.strides
+    return np.lib.stride_tricks.as_strided(x, (x.shape[1] // BLOCK - 1, len(x), 2 * BLOCK), (along * BLOCK, across, along), writeable=False)
+
+
 def _pair_bias(p: np.ndarray) -> tuple[np.ndarray, bool]:
     """The bias of each pair of places, and whether all logits are small enough to need no clipping."""
     wq, wk, bias, _ = _unpack(p)
     offset = np.where(_CAUSAL, bias[np.maximum(_DISTANCE, 0) % (2 * BLOCK)], MASKED).astype(np.float32)
-    # A context is two unit vectors, so its length is at most the root of two.
-    return offset, bool(2 * np.linalg.norm(wq, 2) * np.linalg.norm(wk, 2) + bias.max() < 80)
+    # A context is two unit vectors, so its length is at most the root of two; a matrix lengthens by at most the root of the product of its
+    # largest column and row sums.
+    longest = [math.sqrt(np.abs(w).sum(axis=0).max() * np.abs(w).sum(axis=1).max()) for w in (wq, wk)]
+    return offset, 2 * longest[0] * longest[1] + float(bias.max()) < 80
 
 
 def _before(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,19 +273,31 @@ def _before(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one, np.concatenate([[PAD], one[:-1]])
 
 
-def _weights(queries, keys, offset, values, small: bool) -> np.ndarray:
-    """Exponentials of the logits; keys of the padding weigh nothing."""
-    z = np.matmul(queries, keys.transpose(0, 2, 1))
+def _weights(queries, keys_across, offset, values, small: bool) -> np.ndarray:
+    """Exponentials of the logits; to the ids of a text, keys of the padding weigh nothing.
+
+    Padding stands before a text's first block, and behind its last id, where no query sees it.
+    """
+    z = np.matmul(queries, keys_across)
     z += offset
     if not small:
         np.clip(z, -80.0, 80.0, out=z)
     np.exp(z, out=z)
-    blank = np.flatnonzero((values == PAD).any(axis=1))
-    if len(blank):
-        z[blank] *= (values[blank] != PAD)[:, None, :]
+    z[values[:, 0] == PAD, :, :BLOCK] = 0.0
     return z
 
 
+def _equal(values: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Places, in (blocks, BLOCK, 2 BLOCK) laid flat, of the earlier keys that point at the query's own id; few do, so eight are passed over at
+    once."""
+    same = values[:, None, :] == np.where(targets == PAD, -1, targets)[:, :, None]
+    same &= _CAUSAL
+    same = same.reshape(-1, 8)
+    some = np.flatnonzero(same.view(np.uint64) != 0)
+    found = np.flatnonzero(same.take(some, axis=0))
+    return (some.take(found >> 3) << 3) + (found & 7)
+
+
 _ONES = np.ones(2 * BLOCK, dtype=np.float32)
 
 
@@ -224,23 +305,17 @@ def attend(p: np.ndarray, ids: np.ndarray, chunk: int = BLOCKS_AT_ONCE) -> tuple
     """Per id from the second block on: the attention's share of the id itself, and the null key's share."""
     wq, wk, _, _ = _unpack(p)
     offset, small = _pair_bias(p)
-    # Queries and keys side by side: each half of a context adds a row of a small table.
-    both, half = np.hstack([wq, wk]), DIM // 2
-    one, two = _before(ids)
-    made = np.take(CODES @ both[:half], one, axis=0)
-    made += np.take(CODES @ both[half:], two, axis=0)
-    q, k = np.ascontiguousarray(made[:, :DIM]), np.ascontiguousarray(made[:, DIM:])
-    keys, values = _pairs(k), _pairs(ids)
+    c = contexts(ids)
+    q, across, values = c @ wq, _pairs_across(wk.T @ c.T), _pairs(ids)
     queries, targets = q[BLOCK:].reshape(-1, BLOCK, DIM), ids[BLOCK:].reshape(-1, BLOCK)
     hit, total = np.empty(targets.size, np.float32), np.empty(targets.size, np.float32)
     for at in range(0, len(targets), chunk):
         part = slice(at, at + chunk)
-        z = _weights(queries[part], keys[part], offset, values[part], small).reshape(-1, 2 * BLOCK)
+        z = _weights(queries[part], across[part], offset, values[part], small).reshape(-1, 2 * BLOCK)
         ends = slice(at * BLOCK, at * BLOCK + len(z))
         total[ends] = z @ _ONES
-        # Few keys point at the id itself, so only those are summed.
-        found = np.flatnonzero(values[part][:, None, :] == targets[part][:, :, None])
-        hit[ends] = np.bincount(found // (2 * BLOCK), weights=z.ravel()[found], minlength=len(z))
+        found = _equal(values[part], targets[part])
+        hit[ends] = np.bincount(found // (2 * BLOCK), weights=z.ravel().take(found), minlength=len(z))
     e = np.float32(math.exp(min(p[-1], 80.0)))
     total += e
     return hit / total, e / total
@@ -261,31 +336,35 @@ def step(p: np.ndarray, ids: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray
     real = (ids[BLOCK:] != PAD).reshape(-1, BLOCK)
     keys, values = _pairs(k), _pairs(ids)
     queries, targets = q[BLOCK:].reshape(-1, BLOCK, DIM), ids[BLOCK:].reshape(-1, BLOCK)
-    w = _weights(queries, keys, offset, values, small)
+    w = _weights(queries, _pairs_across(wk.T @ c.T), offset, values, small)
     e = math.exp(min(p[-1], 80.0))
     total = (w.reshape(-1, 2 * BLOCK) @ _ONES).reshape(real.shape) + np.float32(e)
-    found = np.flatnonzero(values[:, None, :] == targets[:, :, None])
-    hit = np.bincount(found // (2 * BLOCK), weights=w.ravel()[found], minlength=real.size).reshape(real.shape)
+    found = _equal(values, targets)
+    row, hits = found // (2 * BLOCK), w.ravel().take(found)
+    hit = np.bincount(row, weights=hits, minlength=real.size).reshape(real.shape)
     share = inside[BLOCK:].reshape(-1, BLOCK)
     prob = (hit + e * share) / total
+    w.ravel()[found] = hits * (1 - 1 / prob.ravel().take(row)).astype(np.float32)
     w *= (real / total).astype(np.float32)[:, :, None]
-    w.ravel()[found] *= 1 - 1 / prob.ravel()[found // (2 * BLOCK)].astype(np.float32)
     d_null = float(np.where(real, e / total * (1 - share / prob), 0.0).sum())
     dq = np.matmul(w, keys)
     dk_pairs = np.matmul(w.transpose(0, 2, 1), queries)
-    dk = np.zeros((len(ids) // BLOCK, BLOCK, DIM), dtype=np.float32)
-    dk[:-1] += dk_pairs[:, :BLOCK]
-    dk[1:] += dk_pairs[:, BLOCK:]
+    # The projections' gradients side by side; the first block has no queries, the last block's keys are seen by one block only.
+    d = np.empty((len(ids) // BLOCK, BLOCK, 2 * DIM), dtype=np.float32)
+    d[0], d[1:, :, :DIM], d[1:, :, DIM:] = 0.0, dq, dk_pairs[:, BLOCK:]
+    d[:-1, :, DIM:] += dk_pairs[:, :BLOCK]
+    g = c.T @ d.reshape(-1, 2 * DIM)
     d_bias = np.bincount((np.maximum(_DISTANCE, 0) % (2 * BLOCK)).ravel(), weights=w.sum(axis=0).ravel(), minlength=2 * BLOCK)
-    g = np.concatenate([(c[BLOCK:].T @ dq.reshape(-1, DIM)).ravel(), (c.T @ dk.reshape(-1, DIM)).ravel(), d_bias, [d_null]])
-    return g, prob.ravel()
+    return np.concatenate([g[:, :DIM].ravel(), g[:, DIM:].ravel(), d_bias, [d_null]]), prob.ravel()
 
 
 def inside_words(ids: np.ndarray, begins: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The corpus share of each id behind the one before it in its word."""
     before = np.concatenate([[START], ids[:-1]])
     before[begins] = START
-    return table[before, ids]
+    before *= IDS
+    before += ids
+    return table.ravel().take(before)
 
 
 def shares(counts: np.ndarray) -> np.ndarray:
@@ -333,25 +412,29 @@ def word_counts(texts: DataFrame, mean: np.ndarray, vectors: np.ndarray) -> Data
     """(word, n, kinds: n in each kind of text) over all rows; the end token has a word of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Counter] = [Counter() for _ in range(KINDS)]
-        for batch in batches:
-            for text in batch.column("text"):
-                raw = text.as_py()
-                own = held[kind(raw, mean, vectors)]
-                own.update(words(raw))
-                own[END_WORD] += 1
-                if sum(map(len, held)) > CACHE_WORDS:
-                    yield from map(_flushed, range(KINDS), held)
-                    held = [Counter() for _ in range(KINDS)]
-        yield from map(_flushed, range(KINDS), held)
+        held: list[pa.Table] = []
+        for batch in pieces_of(batches, 2):
+            found, sizes = split(batch.column("text"))
+            own = np.array([kind(t.as_py(), mean, vectors) for t in batch.column("text")], dtype=np.int32)
+            counted = pa.table({"word": found.cast(pa.binary()), "kind": np.repeat(own, sizes)}).group_by(["word", "kind"], use_threads=False).aggregate([([], "count_all")])
+            held.append(counted.rename_columns({"count_all": "n"}))
+            texts_each = np.bincount(own, minlength=KINDS)
+            held.append(pa.table({"word": pa.array([END_WORD] * KINDS, pa.binary()), "kind": np.arange(KINDS, dtype=np.int32), "n": texts_each}).filter(pa.array(texts_each > 0)))
+            if sum(t.num_rows for t in held) > CACHE_WORDS:
+                held = [_summed(held)]
+                if held[0].num_rows > CACHE_WORDS * 3 // 4:
+                    yield from held.pop().to_batches(ROWS_AT_ONCE)
+        if held:
+            yield from _summed(held).to_batches(ROWS_AT_ONCE)
+        held.clear()
+        pa.default_memory_pool().release_unused()
 
     rows = texts.mapInArrow(run, "word binary, kind int, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"), *(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in range(KINDS)))
 
 
-def _flushed(k: int, counter: Counter) -> pa.RecordBatch:
-    columns = [pa.array(list(counter), pa.binary()), pa.array([k] * len(counter), pa.int32()), pa.array(list(counter.values()), pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["word", "kind", "n"])
+def _summed(counted: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(counted).group_by(["word", "kind"], use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
 
 
 def id_counts(counts: DataFrame, path: str) -> np.ndarray:
@@ -389,52 +472,59 @@ class Scorer:
     def shares_of(self, kinds: np.ndarray) -> np.ndarray:
         """Logarithms and values of words' shares by kind from their counts, side by side, so that a word is looked up once."""
         shared = kinds.sum(axis=1) / max(self.total, 1)
-        values = (1 - COMMON) * kinds / np.maximum(self.by_kind, 1) + COMMON * shared[:, None]
-        return np.hstack([np.log(values + 1e-300), values])
+        out = np.empty((len(kinds), 2 * KINDS))
+        logs, values = out[:, :KINDS], out[:, KINDS:]
+        np.multiply(kinds, 1 - COMMON, out=values)
+        values /= np.maximum(self.by_kind, 1)
+        values += COMMON * shared[:, None]
+        np.log(np.add(values, 1e-300, out=logs), out=logs)
+        return out
 
     def unlisted(self, others: Iterable[tuple[list[bytes], np.ndarray]]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
         """Places, shares and counts of the words outside the list that texts hold, from these words and their counts by kind."""
         at: dict[bytes, int] = {}
         parts = [(w, c) for w, c in others if w]
-        for w in chain.from_iterable(w for w, _ in parts):
-            at.setdefault(w, len(at))
+        rows = [at.setdefault(w, len(at)) for w in chain.from_iterable(w for w, _ in parts)]
         kinds = np.empty((len(at), KINDS))
-        for w, c in parts:
-            kinds[[at[x] for x in w]] = c
+        if parts:
+            kinds[rows] = np.concatenate([c for _, c in parts])
         return at, self.shares_of(kinds), kinds.sum(axis=1)
 
-    def look_up(self, found: list[bytes], places: np.ndarray, others: tuple[dict[bytes, int], np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Shares and count of each word; ``others``: of :meth:`unlisted`."""
-        rows, counts = self.rows[places], self.counts[places]
+    def look_up(self, places: np.ndarray, found: dict[int, bytes], others: tuple[dict[bytes, int], np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Shares and count of each word; ``found``: of :meth:`Listed.streams`, ``others``: of :meth:`unlisted`."""
+        rows, counts = self.rows.take(places, axis=0), self.counts.take(places)
         at, shared, each = others
         if at:
-            unlisted = np.flatnonzero(places == len(self.rows) - 1)
-            own = np.array([at.get(found[i], -1) for i in unlisted.tolist()], dtype=np.int64)
+            unlisted, own = np.array(list(found), dtype=np.int64), np.array([at.get(w, -1) for w in found.values()], dtype=np.int64)
             unlisted, own = unlisted[own >= 0], own[own >= 0]
             rows[unlisted], counts[unlisted] = shared[own], each[own]
         return rows, counts
 
     def own_share(self, rows: np.ndarray, counts: np.ndarray, sizes: list[int], left_out: int = 0) -> np.ndarray:
         """Probability of each word by the kinds' frequencies, the kinds weighed by the words before it in its text."""
-        logs, values = rows[:, :KINDS], rows[:, KINDS:]
+        # A row per kind, so that maxima and sums run over whole rows.
+        rows = np.ascontiguousarray(rows.T)
+        logs, values = rows[:KINDS], rows[KINDS:]
         begins = np.cumsum(sizes) - sizes
-        before = np.cumsum(logs, axis=0) - logs
-        before -= np.repeat(before[begins], sizes, axis=0) - np.log(self.prior)
-        before -= before.max(axis=1, keepdims=True)
+        before = np.cumsum(logs, axis=1)
+        before -= logs
+        before -= np.repeat(before[:, begins] - np.log(self.prior)[:, None], sizes, axis=1)
+        before -= before.max(axis=0)
         np.exp(before, out=before)
-        before *= (1 - COMMON) / before.sum(axis=1, keepdims=True)
-        before += COMMON * self.prior
-        out = np.einsum("ij,ij->i", before, values)
+        before *= (1 - COMMON) / before.sum(axis=0)
+        before += COMMON * self.prior[:, None]
+        before *= values
+        out = before.sum(axis=0)
         if not left_out:
             return out
         return out * np.maximum(counts - left_out, 0) / np.maximum(counts, 1)
 
     def word_log(self, stream: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log P of each word of the texts' ids under the attention model."""
-        ids, places = lay_out(np.split(stream, np.cumsum(sizes)[:-1]))
+        ids, places = lay_out_flat(stream, sizes)
         hit, null = attend(self.p, ids)
         at = places - BLOCK
-        logs = np.log(hit[at] + null[at] * inside_words(stream, begins, self.table) + 1e-30, dtype=np.float64)
+        logs = np.log(hit.take(at) + null.take(at) * inside_words(stream, begins, self.table) + 1e-30, dtype=np.float64)
         return np.add.reduceat(logs, begins)
 
 
@@ -442,17 +532,14 @@ def _unlisted(share):
     """The distinct words of each text that are not in the list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frozenset(share.value)
-        for batch in batches:
-            uids, out = [], []
-            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text"), strict=True):
-                own = set(words(text.as_py())) - known
-                uids += [uid] * len(own)
-                out += own
-                if len(out) >= CACHE_WORDS:
-                    yield _word_batch(uids, out)
-                    uids, out = [], []
-            yield _word_batch(uids, out)
+        known = pa.array(share.value, pa.binary())
+        for batch in pieces_of(batches):
+            found, sizes = split(batch.column("text"))
+            other = np.flatnonzero(pc.is_null(pc.index_in(found, value_set=known.cast(found.type))).to_numpy(zero_copy_only=False))
+            text = np.searchsorted(np.cumsum(sizes), other, side="right")
+            pairs = dict.fromkeys(zip(batch.column("uid").to_numpy()[text].tolist(), found.take(pa.array(other)).to_pylist(), strict=True))
+            yield _word_batch([u for u, _ in pairs], [w for _, w in pairs])
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -476,16 +563,13 @@ def with_unlisted(rows: DataFrame, by_kind: DataFrame, share) -> DataFrame:
 
 
 def _others(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    for found, counts in zip(batch.column("others"), batch.column("other_counts"), strict=True):
-        yield found.as_py() or [], np.array(counts.as_py() or [], dtype=np.float64).reshape(-1, KINDS)
-
-
-def _runs(texts: pa.Array) -> Iterator[list[bytes]]:
-    """All words of all texts in runs; a text without words is an empty run."""
-    for text in texts:
-        found = words(text.as_py())
-        for at in range(0, max(len(found), 1), RUN_WORDS):
-            yield found[at : at + RUN_WORDS]
+    """The words of each text that are not in the list, and their counts by kind."""
+    column = batch.column("others")
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64).tolist()
+    found = column.flatten().to_numpy(zero_copy_only=False).tolist()
+    counts = batch.column("other_counts").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, KINDS)
+    for begin, end in pairwise(chain((0,), ends)):
+        yield found[begin:end], counts[begin:end]
 
 
 def _train(share):
@@ -496,19 +580,20 @@ def _train(share):
         memory, steps, losses = np.zeros_like(s.p), 0, np.zeros(len(WEIGHTS))
         for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
             others = s.unlisted(_others(batch))
-            for part in batched(_runs(batch.column("text")), STEP_RUNS):
-                found, known, stream, begins, sizes = s.listed.streams(part)
-                ids, places = lay_out(np.split(stream, np.cumsum(sizes)[:-1]))
+            for part in batched((r for piece in pieces_of([batch]) for r in s.listed.runs(piece.column("text"), RUN_WORDS)), STEP_RUNS):
+                known, found, stream, begins, sizes = s.listed.streams(part)
+                ids, places = lay_out_flat(stream, sizes)
                 inside = np.ones(len(ids))
                 inside[places] = inside_words(stream, begins, s.table)
                 g, prob = step(s.p, ids, inside)
                 g /= len(stream)
                 memory += g * g
                 logs = np.exp(np.add.reduceat(np.log(prob[places - BLOCK] + 1e-30), begins))
-                own = s.own_share(*s.look_up(found, known, others), [len(r) + 1 for r in part], 1)
+                own = s.own_share(*s.look_up(known, found, others), [len(r) + 1 for r in part], 1)
                 losses += [-np.log((1 - w) * own + w * logs + 1e-300).sum() for w in WEIGHTS]
                 s.p = s.p - RATE * g / (np.sqrt(memory) + 1e-8)
                 steps += 1
+        pa.default_memory_pool().release_unused()
         values = np.concatenate([s.p * steps, [steps], losses])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["i", "v"])
 
@@ -522,14 +607,12 @@ def _score(share):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Scorer(*share.value)
         floor = s.total + 0.1 * (s.distinct + 1)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces_of(batches):
             rows, held, others, size = [], [], [], 0
-            for text, other in zip(batch.column("text"), _others(batch), strict=True):
-                held.append(words(text.as_py()))
+            for run, other in zip(s.listed.runs(batch.column("text")), _others(batch), strict=True):
+                held.append(run)
                 others.append(other)
-                size += len(held[-1])
+                size += len(run)
                 if size > WORDS_AT_ONCE:
                     rows += _scored(s, held, others, floor)
                     held, others, size = [], [], 0
@@ -537,15 +620,16 @@ def _score(share):
                 rows += _scored(s, held, others, floor)
             columns = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.float64(), pa.int64(), pa.float64()), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *columns], names=[f.split()[0] for f in ROW.split(", ")])
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
-def _scored(s: Scorer, texts: list[list[bytes]], others: list[tuple[list[bytes], np.ndarray]], floor: float) -> list[tuple]:
+def _scored(s: Scorer, texts: list[Run], others: list[tuple[list[bytes], np.ndarray]], floor: float) -> list[tuple]:
     """(n_tokens, base, counted words, score) of each text."""
-    found, places, stream, begins, ids_each = s.listed.streams(texts)
+    places, found, stream, begins, ids_each = s.listed.streams(texts)
     logs = s.word_log(stream, begins, ids_each)
-    rows, counts = s.look_up(found, places, s.unlisted(others))
+    rows, counts = s.look_up(places, found, s.unlisted(others))
     sizes = [len(t) + 1 for t in texts]
     begins = np.cumsum(sizes) - sizes
     mixed = np.log10((1 - s.weight) * s.own_share(rows, counts, sizes) + s.weight * np.exp(logs) + 1e-300)
@@ -574,6 +658,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             break
         floor = r.n
     top = by_kind.filter((F.col("n") >= floor) | (F.col("word") == F.lit(END_WORD))).toArrow()
+    # Frequent words first, so that what belongs to them lies close together.
+    top = top.sort_by([("n", "descending"), ("word", "ascending")])
     known = top.column("word").to_pylist(), np.stack([top.column(c).to_numpy() for c in names], axis=1)
     table = shares(id_counts(counts, path))
     p, weight = first_parameters(), 0.3

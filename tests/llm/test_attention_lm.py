@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -139,3 +140,85 @@ def test_training_sees_every_word(monkeypatch):
 
 def test_empty(docs):
     assert lm.score(docs()).count() == 0
+
+
+def test_split_equals_python():
+    rng = random.Random(11)
+    texts = [b"", b" ", b"\x1f a\x85b", b"One\x0btwo\x0c \tTHREE\r\n", "Ünï ÄB c".encode(), bytes(range(256)), b"\xff\xfe \xc3"]
+    texts += [bytes(rng.choices(b"aB \t\n\x1c\xa0", k=rng.randint(0, 30))) for _ in range(200)]
+    found, sizes = lm.split(pa.array([b"cut off", *texts], pa.binary()).slice(1))
+    want = [t.lower().split() for t in texts]
+    assert found.to_pylist() == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+
+
+def test_pieces_hold_all_rows_within_bounds(monkeypatch):
+    monkeypatch.setattr(lm, "BYTES_AT_ONCE", 10)
+    monkeypatch.setattr(lm, "TEXTS_AT_ONCE", 3)
+    texts = [b"", b"a" * 50, b"b" * 6, b"c" * 4, b"d", *[b""] * 7, b"e" * 10, b"f" * 11]
+    pieces = [p.column("text").to_pylist() for p in lm.pieces_of([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])])]
+    assert [t for p in pieces for t in p] == texts
+    assert all(len(p) == 1 or len(p) <= 3 and sum(map(len, p)) <= 10 for p in pieces) and len(pieces) == 7
+
+
+def test_streams_spell_word_by_word():
+    rng = random.Random(12)
+    texts = [make(rng, n).encode() for n in (0, 3, 70, 1, 200)] + [b"zug " * 5, b""]
+    for known in ([], [b"the", b"ka"], [lm.END_WORD, b"the", b"of", b"lomi"]):
+        listed = lm.Listed(lm.vocabulary_path(), known)
+        for most in (None, 64):
+            runs = list(listed.runs(pa.array(texts, pa.binary()), most))
+            want = [w for r in runs for w in (*r, lm.END_WORD)]
+            places, found, ids, begins, sizes = listed.streams(runs)
+            assert places.tolist() == [known.index(w) if w in known else len(known) for w in want]
+            assert found == {i: w for i, w in enumerate(want) if w not in known}
+            spelt = [np.frombuffer(listed.subwords.of(w), dtype=np.int16).tolist() for w in want]
+            assert [x.tolist() for x in np.split(ids, begins[1:])] == spelt
+            assert sizes.tolist() == [sum(len(listed.subwords.of(w)) // 2 for w in (*r, lm.END_WORD)) for r in runs]
+
+
+def test_a_step_does_not_copy_the_list():
+    listed = lm.Listed(lm.vocabulary_path(), [lm.END_WORD, *(b"w%d" % i for i in range(100_000))])
+    runs = list(listed.runs(pa.array([b"w7 w99999 zug"] * 64, pa.binary()), 64))
+    listed.streams(runs)
+    tracemalloc.start()
+    listed.streams(runs)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 200_000
+
+
+def test_only_earlier_keys_of_the_text_are_found():
+    ids, _ = lm.lay_out([np.array([5, 6, 5, 5], dtype=np.int16), np.array([7] * 20, dtype=np.int16)])
+    found = lm._equal(lm._pairs(ids), ids[lm.BLOCK :].reshape(-1, lm.BLOCK))
+    assert len(found) == 3 + 20 * 19 // 2
+
+
+def test_words_are_counted_by_kind_across_flushes(docs, monkeypatch):
+    rng = random.Random(13)
+    texts = [make(rng, rng.randint(0, 80)).encode() for _ in range(150)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 20], pa.binary())], names=["text"]) for at in range(0, 150, 20)]
+    x = np.array([lm.profile(t) for t in texts])
+    mean, vectors = x.mean(axis=0), np.linalg.svd(x - x.mean(axis=0))[2][: lm.COMPONENTS].T
+    want = Counter()
+    for t in texts:
+        want.update((w, lm.kind(t, mean, vectors)) for w in (*t.split(), lm.END_WORD))
+    monkeypatch.setattr(lm, "CACHE_WORDS", 40)
+    got = Counter()
+    frame = SimpleNamespace(mapInArrow=lambda run, _: rows.extend(run(iter(batches))) or frame, groupBy=lambda _: frame, agg=lambda *_: None)
+    rows: list[pa.RecordBatch] = []
+    docs()  # a session for the columns
+    lm.word_counts(frame, mean, vectors)
+    for r in (r for b in rows for r in b.to_pylist()):
+        got[r["word"], r["kind"]] += r["n"]
+    assert got == want
+
+
+def test_steps_do_not_depend_on_the_bytes_held_at_once(monkeypatch):
+    rng = random.Random(14)
+    texts = [make(rng, rng.randint(0, 300)).encode() for _ in range(60)]
+    value = ("bytes", lm.vocabulary_path(), ([lm.END_WORD, b"the"], np.full((2, lm.KINDS), 7.0)), np.full(lm.KINDS, 99.0), 2, np.full((lm.IDS, lm.IDS), 1 / lm.IDS), lm.first_parameters(), 0.3)
+    none = [pa.array([None] * 60, pa.list_(pa.binary())), pa.array([None] * 60, pa.list_(pa.int64()))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), *none], names=["text", "others", "other_counts"])
+    want = next(lm._train(SimpleNamespace(value=value))(iter([batch]))).column("v")
+    monkeypatch.setattr(lm, "BYTES_AT_ONCE", 900)
+    assert next(lm._train(SimpleNamespace(value=value))(iter([batch]))).column("v").equals(want)
